@@ -31,6 +31,7 @@ CLEAN = {
         trim(regexp_replace(coalesce(string_agg(piece, '' ORDER BY k) FILTER (WHERE NOT is_code), ''),
              '[ \\t\\n\\r\\x0B\\f]+', ' ', 'g')) AS body,
         coalesce(string_agg(piece, '{JOINED}' ORDER BY k) FILTER (WHERE is_code), '') AS code,
+        coalesce(string_agg(piece, ' ' ORDER BY k) FILTER (WHERE is_code), '') AS code_text,
         count(*) FILTER (WHERE is_code) AS code_blocks
         FROM raw r LEFT JOIN roles s ON r.id = s.id GROUP BY r.id, r.title""",
 }
@@ -102,8 +103,8 @@ def model_input_text(spark, folder):
 
 @area.add(
     with_sql(
-        f"""SELECT id, title || ' ' || body AS text, title || ' ' || body || ' ' || replace(code, '{JOINED}', ' ')
-            AS text_with_code FROM cleaned""",
+        """SELECT id, title || ' ' || body AS text, title || ' ' || body || ' ' || code_text AS text_with_code
+            FROM cleaned""",
         **CLEAN,
     )
 )
@@ -112,9 +113,7 @@ def clean_document_text(spark, folder):
     return cleaned.select(
         "id",
         T.model_text(F.col("title"), F.col("body")).alias("text"),
-        F.replace(
-            T.model_text(F.col("title"), F.col("body"), F.col("code")), F.lit(JOINED), F.lit(" ")
-        ).alias("text_with_code"),
+        T.model_text(F.col("title"), F.col("body"), F.col("code")).alias("text_with_code"),
     )
 
 

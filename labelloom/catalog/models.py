@@ -97,10 +97,10 @@ def bayes_sql(final: str, **more: str) -> str:
 
 
 def _training(spark, folder):
-    """Questions, the folded sample and its terms; all but the questions are stored tables."""
-    questions, samples = drawn(spark, folder, staged=True)
+    """Questions, their sample with its folds, and the terms of the sample; the latter two as stored tables."""
+    questions, samples = drawn(spark, folder)
     folded = stage(sampling.stratified_folds(samples, SPEC), "folds")
-    terms = X.sample_terms(folded, clean.model_input(questions), STOP_WORDS)
+    terms = stage(X.sample_terms(folded, clean.model_input(questions), STOP_WORDS), "sample-terms")
     return questions, folded, terms
 
 
@@ -178,12 +178,11 @@ def score_table(spark, folder):
 
 
 def fitted(spark, folder):
-    """Questions and stored Bernoulli models with the best smoothing of each tag."""
+    """Questions, their sample, and stored Bernoulli models with the best smoothing of each tag."""
     questions, folded, terms = _training(spark, folder)
-    terms = stage(terms, "sample-terms")
     scores = bayes.fold_scores(folded, terms, "bernoulli_nb", bayes.ALPHAS, SPEC.folds)
     best = evaluate.best_params(evaluate.score_report(scores, "alpha"), "alpha")
-    return questions, stage(bayes.fit(folded, terms, "bernoulli_nb", best, SPEC.folds), "models")
+    return questions, folded, stage(bayes.fit(folded, terms, "bernoulli_nb", best, SPEC.folds), "models")
 
 
 @area.add(
@@ -193,12 +192,12 @@ def fitted(spark, folder):
     )
 )
 def bernoulli_models(spark, folder):
-    models = fitted(spark, folder)[1]
+    models = fitted(spark, folder)[2]
     return models.select("tag", "term", F.round("weight", 6).alias("weight"), F.round("bias", 4).alias("bias"))
 
 
 def _suggested(spark, folder):
-    questions, models = fitted(spark, folder)
+    questions, _, models = fitted(spark, folder)
     documents = clean.document_terms(clean.model_input(questions), STOP_WORDS)
     truth = questions.select("id", tag_array(F.col("tags")).alias("target"))
     return scoring.suggest_tags(documents, models), truth
@@ -302,8 +301,7 @@ AFTER_CANDIDATES = ("gram_weights", "gram_unit", "gram_top", "gram_mean")
 )
 def suggestions_with_keyword(spark, folder):
     """Suggestions for the benchmark passages with their best keyword appended."""
-    questions, samples = drawn(spark, folder, staged=True)
-    _, models = fitted(spark, folder)
+    questions, samples, models = fitted(spark, folder)
     texts = clean.model_input(questions)
     queries = questions_from_benchmark(spark, folder).select("id", F.col("body").alias("text"))
     predictions = stage(scoring.suggest_tags(clean.document_terms(queries, STOP_WORDS), models), "suggestions")

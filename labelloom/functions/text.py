@@ -88,30 +88,49 @@ def split_html(df: DataFrame, html: str = "body", prose: str = "body", code: str
     )
 
 
-def count_terms(df: DataFrame, words: str) -> DataFrame:
-    """Explode a token array into ``(other columns, term, tf)`` without a shuffle.
+def explode_once(df: DataFrame, array: str, name: str) -> DataFrame:
+    """Explode a computed array so that it is computed once.
+
+    A plain ``explode`` makes the optimizer infer a filter on the array's size and push it, with the whole
+    expression behind the array, below the projections that compute it step by step.
+    """
+    others = [c for c in df.columns if c != array]
+    return df.select(*others, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
+def with_term_runs(df: DataFrame, words: str, runs: str = "runs") -> DataFrame:
+    """Replace a token array by ``array<struct<term, tf>>``, counted inside the row.
 
-    A document's tokens are sorted inside its row and the lengths of equal runs are its term counts, so the rows keep
-    the partitioning they came with. Rows without tokens disappear.
+    The tokens are sorted and the lengths of equal runs are the term counts, so no shuffle is needed and the rows keep
+    the partitioning they came with.
     """
     others = [c for c in df.columns if c != words]
-    last = F.size("_sorted") - 1
+    size = F.size("_sorted")
+    positions = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
     is_start = lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1))
-    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts") - 1), F.array(F.size("_sorted")))
-    runs = F.zip_with(
+    ends = F.slice(F.concat("_starts", F.array(size)), F.lit(2), F.size("_starts"))
+    counted = F.zip_with(
         "_starts",
         ends,
         lambda start, end: F.struct(F.get("_sorted", start).alias("term"), (end - start).cast("long").alias("tf")),
     )
     return (
-        df.where(F.size(words) > 0)
-        .select(*others, F.array_sort(words).alias("_sorted"))
-        .select(*others, "_sorted", F.filter(F.sequence(F.lit(0), last), is_start).alias("_starts"))
-        .select(*others, F.explode(runs).alias("_run"))
-        .select(*others, "_run.term", "_run.tf")
+        df.select(*others, F.array_sort(words).alias("_sorted"))
+        .select(*others, "_sorted", F.filter(positions, is_start).alias("_starts"))
+        .select(*others, counted.alias(runs))
     )
 
 
+def explode_runs(df: DataFrame, runs: str = "runs") -> DataFrame:
+    others = [c for c in df.columns if c != runs]
+    return explode_once(df, runs, "_run").select(*others, "_run.term", "_run.tf")
+
+
+def count_terms(df: DataFrame, words: str) -> DataFrame:
+    """Explode a token array into ``(other columns, term, tf)``."""
+    return explode_runs(with_term_runs(df, words))
+
+
 def hash60(*parts: Column) -> Column:
     """60-bit hash of the ``:``-joined parts, reproducible in any SQL engine that has md5."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.functions.text import count_terms
+from labelloom.functions.text import count_terms, explode_runs, with_term_runs
 from labelloom.operators.clean import document_terms
 
 # Fixed value: number of hash buckets.
@@ -47,9 +47,9 @@ def sample_texts(samples: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def sample_terms(samples: DataFrame, texts: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
-    """``samples`` columns plus ``(term, tf)``: every sampled text is tokenised once and then shared by its tags."""
-    per_document = document_terms(sample_texts(samples, texts), stop_words)
-    return count_terms(per_document.join(samples, "id"), "terms")
+    """``samples`` columns plus ``(term, tf)``: every sampled text is counted once and then shared by its tags."""
+    per_document = with_term_runs(document_terms(sample_texts(samples, texts), stop_words), "terms")
+    return explode_runs(per_document.join(samples, "id"))
 
 
 def hashed_counts(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.functions.text import count_terms
+from labelloom.functions.text import count_terms, explode_once
 from labelloom.operators.clean import document_terms
 
 # Fixed value: keywords kept per (query, tag).
@@ -19,7 +19,8 @@ def sample_statistics(samples: DataFrame, texts: DataFrame, stop_words: Sequence
     sampled = texts.join(samples.select("id").distinct(), "id", "left_semi")
     per_document = document_terms(sampled, stop_words, bigrams=True).withColumn("terms", F.array_distinct("terms"))
     of_tag = per_document.join(samples.select("tag", "id"), "id")
-    df = of_tag.select("tag", F.explode("terms").alias("term")).groupBy("tag", "term").agg(F.count("*").alias("df"))
+    terms = explode_once(of_tag.select("tag", "terms"), "terms", "term")
+    df = terms.groupBy("tag", "term").agg(F.count("*").alias("df"))
     return df, samples.groupBy("tag").agg(F.count("*").alias("n"))
 
 

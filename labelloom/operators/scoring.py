@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.text import count_terms
+from labelloom.functions.text import count_terms, explode_once
 
 
 def suggest_tags(documents: DataFrame, models: DataFrame, binary: bool = True) -> DataFrame:
@@ -23,7 +23,8 @@ def suggest_tags(documents: DataFrame, models: DataFrame, binary: bool = True) -
     spread = documents.repartition("id")
     if binary:
         words = spread.select("id", F.array_distinct("terms").alias("terms"))
-        rows = words.select("id", F.explode(F.array_append("terms", F.lit(""))).alias("term"), F.lit(1).alias("tf"))
+        marked = words.select("id", F.array_append("terms", F.lit("")).alias("terms"))
+        rows = explode_once(marked, "terms", "term").withColumn("tf", F.lit(1))
     else:
         counted = count_terms(spread.select("id", F.array_append("terms", F.lit("")).alias("terms")), "terms")
         rows = counted.select("id", "term", "tf")

@@ -9,14 +9,28 @@ QUESTION_SCHEMA = "id LONG, title STRING, body STRING, tags STRING"
 STOP_WORD_LIMIT = 100_000
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Give every core some rows of an input too small to be cut into one scan split per core.
+
+    A large input passes unchanged: its splits already keep all cores busy, and texts are not worth a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * split else df
+
+
 def read_questions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Question CSV with a header, quoted multi-line bodies and doubled quotes.
 
     A file with line breaks inside fields is read by one task, so large inputs should come as many files and be
-    turned into Parquet once (``sinks.write_clean_corpus``).
+    turned into Parquet once (``sinks.write_clean_corpus``). Rows of fewer files than cores are spread after reading.
     """
     raw = spark.read.csv(path, schema=QUESTION_SCHEMA, header=True, multiLine=True, quote='"', escape='"')
-    return raw.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "body", "tags")])
+    cores = spark.sparkContext.defaultParallelism
+    rows = raw.repartition(cores, "id") if len(raw.inputFiles()) < cores else raw
+    return rows.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "body", "tags")])
 
 
 def latest_by_id(df: DataFrame, order: str, key: str = "id") -> DataFrame:
@@ -41,7 +55,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def questions_from_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as questions: first line = title, tags = language, source and label flags."""
-    documents = _table(spark, folder, "documents")
+    documents = spread_small(_table(spark, folder, "documents"), "doc_id")
     labels = _table(spark, folder, "labels")
     return documents.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
@@ -62,13 +76,13 @@ def questions_from_pages(spark: SparkSession, folder: str) -> DataFrame:
     html = F.col("html")
     for found, put in (("<article>", "x<pre>"), ("<b>", "y <code>"), ("<li>", "z<code>")):
         html = F.replace(html, F.lit(found), F.lit(put))
-    return _table(spark, folder, "pages").select(
+    return spread_small(_table(spark, folder, "pages"), "page_id").select(
         F.col("page_id").alias("id"), F.col("url").alias("title"), html.alias("body"), F.lit("").alias("tags")
     )
 
 
 def questions_from_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages as untagged questions."""
-    return _table(spark, folder, "benchmark").select(
+    return spread_small(_table(spark, folder, "benchmark"), "item_id").select(
         F.col("item_id").alias("id"), F.lit("").alias("title"), F.col("text").alias("body"), F.lit("").alias("tags")
     )
