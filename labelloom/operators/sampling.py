@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import hash60, tag_array
-from labelloom.operators.tags import tag_uses
 
 CIRCLE = 1 << 60
 
@@ -46,7 +45,8 @@ def first_per_key(df: DataFrame, key: str, order: list[Column], n: int, salts: i
 
 def positive_sample(questions: DataFrame, selected: DataFrame, spec: SampleSpec) -> DataFrame:
     """Up to ``spec.positives`` documents of every selected tag, in hash order."""
-    uses = tag_uses(questions).join(selected.select("tag"), "tag").distinct()
+    once = questions.select("id", F.explode(F.array_distinct(tag_array(F.col("tags")))).alias("tag"))
+    uses = once.join(selected.select("tag"), "tag")
     keyed = uses.withColumn("_key", F.md5(F.concat_ws(":", "tag", "id", F.lit(spec.seed))))
     return first_per_key(keyed, "tag", [F.col("_key"), F.col("id")], spec.positives).select(
         "tag", "id", F.lit(True).alias("label")

@@ -1,0 +1,186 @@
+"""Grid searches of trained classifiers per tag, and scoring with the chosen ones.
+
+A tag's sample is small, so the cost lies in the number of fits: tags run in a driver thread pool and each grid
+search fits several candidates at a time, all in the same Spark session.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, LinearSVC, NaiveBayes, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import Binarizer
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+REPORT_SCHEMA = "tag STRING, model STRING, params STRING, mean_f1 DOUBLE, two_std DOUBLE"
+
+# The searched grids. A split needs at least two rows, so a minimum of 1 and 2 are the same setting;
+# the nearest setting to 3 is two rows on each side.
+NB_SMOOTHING = (1e-10, 1.0, 2.0)
+SVC_C = tuple(10.0**e for e in range(9))
+RF_TREES = (10, 20, 30)
+GBT_TREES = (100, 200, 300)
+IMPURITIES = ("gini", "entropy")
+FEATURE_SUBSETS = ("sqrt", "log2")
+MIN_ROWS = (1, 2)
+MAX_DEPTH = 20
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """A model family: how to build its stages and grid for a training size."""
+
+    name: str
+    build: Callable[[int], tuple[Pipeline, list]]
+
+
+def bernoulli(smoothing: Sequence[float] = NB_SMOOTHING) -> Candidate:
+    def build(rows: int):
+        signs = Binarizer(threshold=0.0, inputCol="features", outputCol="_signs")
+        nb = NaiveBayes(modelType="bernoulli", featuresCol="_signs")
+        return Pipeline(stages=[signs, nb]), ParamGridBuilder().addGrid(nb.smoothing, list(smoothing)).build()
+
+    return Candidate("bernoulli_nb", build)
+
+
+def linear_svc(c_values: Sequence[float] = SVC_C, max_iter: int = 100) -> Candidate:
+    def build(rows: int):
+        svc = LinearSVC(standardization=False, maxIter=max_iter)
+        grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * rows) for c in c_values]).build()
+        return Pipeline(stages=[svc]), grid
+
+    return Candidate("linear_svc", build)
+
+
+def random_forest(
+    trees: Sequence[int] = RF_TREES,
+    impurities: Sequence[str] = IMPURITIES,
+    subsets: Sequence[str] = FEATURE_SUBSETS,
+    min_rows: Sequence[int] = MIN_ROWS,
+    max_depth: int = MAX_DEPTH,
+    seed: int = 0,
+) -> Candidate:
+    def build(rows: int):
+        rf = RandomForestClassifier(maxDepth=max_depth, seed=seed)
+        grid = (
+            ParamGridBuilder()
+            .addGrid(rf.numTrees, list(trees))
+            .addGrid(rf.impurity, list(impurities))
+            .addGrid(rf.featureSubsetStrategy, list(subsets))
+            .addGrid(rf.minInstancesPerNode, list(min_rows))
+            .build()
+        )
+        return Pipeline(stages=[rf]), grid
+
+    return Candidate("random_forest", build)
+
+
+def gradient_boosting(
+    trees: Sequence[int] = GBT_TREES,
+    subsets: Sequence[str] = FEATURE_SUBSETS,
+    min_rows: Sequence[int] = MIN_ROWS,
+    seed: int = 0,
+) -> Candidate:
+    def build(rows: int):
+        gbt = GBTClassifier(maxDepth=3, stepSize=0.1, seed=seed)
+        grid = (
+            ParamGridBuilder()
+            .addGrid(gbt.maxIter, list(trees))
+            .addGrid(gbt.featureSubsetStrategy, list(subsets))
+            .addGrid(gbt.minInstancesPerNode, list(min_rows))
+            .build()
+        )
+        return Pipeline(stages=[gbt]), grid
+
+    return Candidate("gradient_boosting", build)
+
+
+ALL_CANDIDATES = (bernoulli(), linear_svc(), random_forest(), gradient_boosting())
+
+
+def f1_evaluator() -> MulticlassClassificationEvaluator:
+    return MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
+
+
+def _shown(params: dict) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda item: item[0].name))
+
+
+def analyze_tag(
+    sample: DataFrame, tag: str, candidates: Sequence[Candidate], folds: int = 3, parallelism: int = 4
+) -> tuple[list[tuple], PipelineModel]:
+    """Grid-search every candidate on one tag's ``(label, fold, features)`` and refit the best.
+
+    Returns a report line per candidate and the best model; of equals the earlier candidate wins.
+    """
+    rows = sample.count()
+    training = max(1, rows * (folds - 1) // folds)
+    report, best, best_model = [], -1.0, None
+    for candidate in candidates:
+        pipeline, grid = candidate.build(training)
+        search = CrossValidator(
+            estimator=pipeline,
+            estimatorParamMaps=grid,
+            evaluator=f1_evaluator(),
+            numFolds=folds,
+            foldCol="fold",
+            parallelism=parallelism,
+        ).fit(sample)
+        at = max(range(len(grid)), key=lambda i: search.avgMetrics[i])
+        mean = float(search.avgMetrics[at])
+        report.append((tag, candidate.name, _shown(grid[at]), mean, 2 * float(search.stdMetrics[at])))
+        if mean > best:
+            best, best_model = mean, search.bestModel
+    return report, best_model
+
+
+def analyze_tags(
+    samples: DataFrame,
+    tags: Sequence[str],
+    candidates: Sequence[Candidate] = ALL_CANDIDATES,
+    models_path: str | None = None,
+    tags_at_once: int = 4,
+    folds: int = 3,
+) -> DataFrame:
+    """The survey of ``tags`` on stored ``(tag, label BOOLEAN, fold, features VECTOR)``: a report line per
+    (tag, model). With ``models_path`` every tag's best model is saved under its name."""
+    spark = samples.sparkSession
+
+    def analyze(tag: str) -> list[tuple]:
+        sample = (
+            samples.where(F.col("tag") == tag)
+            .select(F.col("label").cast("double").alias("label"), F.col("fold").cast("int").alias("fold"), "features")
+            .coalesce(1)
+            .cache()
+        )
+        try:
+            report, model = analyze_tag(sample, tag, candidates, folds)
+        finally:
+            sample.unpersist()
+        if models_path:
+            model.write().overwrite().save(f"{models_path}/{tag}")
+        return report
+
+    with ThreadPool(tags_at_once) as pool:
+        lines = [line for report in pool.map(analyze, tags, chunksize=1) for line in report]
+    return spark.createDataFrame(lines, REPORT_SCHEMA)
+
+
+def load_models(spark: SparkSession, models_path: str, tags: Sequence[str]) -> dict[str, PipelineModel]:
+    return {tag: PipelineModel.load(f"{models_path}/{tag}") for tag in tags}
+
+
+def suggest_with_models(features: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+    """``(id, tags)`` of ``(id, features)``: every model adds a column, so the documents are passed once."""
+    scored, positive = features, []
+    for place, (tag, model) in enumerate(sorted(models.items())):
+        scored = model.transform(scored).drop("rawPrediction", "probability", "_signs")
+        scored = scored.withColumnRenamed("prediction", f"_p{place}")
+        positive.append(F.when(F.col(f"_p{place}") == 1.0, F.lit(tag)))
+    return scored.select("id", F.array_compact(F.array(*positive)).alias("tags"))
