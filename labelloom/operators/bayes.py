@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.operators.evaluate import binary_f1
@@ -27,14 +27,13 @@ def _cell(label: bool, fold: int) -> str:
     return f"{'p' if label else 'n'}{fold}"
 
 
-def _cells(value: Column, folds: int, over=None) -> list[Column]:
+def _cells(value: Column, folds: int) -> list[Column]:
     """Sums of ``value`` per (label, fold): ``p0, n0, p1, ...``"""
-    sums = []
-    for fold in range(folds):
-        for label in (True, False):
-            cell = F.sum(F.when((F.col("label") == label) & (F.col("fold") == fold), value).otherwise(0))
-            sums.append((cell if over is None else cell.over(over)).alias(_cell(label, fold)))
-    return sums
+    return [
+        F.sum(F.when((F.col("label") == label) & (F.col("fold") == fold), value).otherwise(0)).alias(_cell(label, fold))
+        for fold in range(folds)
+        for label in (True, False)
+    ]
 
 
 def _without(prefix: str, label: bool, folds: int, fold: int | None) -> Column:
@@ -43,14 +42,6 @@ def _without(prefix: str, label: bool, folds: int, fold: int | None) -> Column:
     return reduce(lambda a, b: a + b, kept, F.lit(0)).cast("double")
 
 
-def _pick_fold(by_fold: list[Column]) -> Column:
-    """The column that belongs to the row's own fold."""
-    chosen = F.when(F.col("fold") == 0, by_fold[0])
-    for fold, column in enumerate(by_fold[1:], start=1):
-        chosen = chosen.when(F.col("fold") == fold, column)
-    return chosen
-
-
 class _Bernoulli:
     name = "bernoulli_nb"
 
@@ -130,21 +121,16 @@ def _log_prior(folds: int, fold: int | None) -> Column:
     return F.log(_without("docs_", True, folds, fold)) - F.log(_without("docs_", False, folds, fold))
 
 
-def _counted(samples: DataFrame, terms: DataFrame, family, folds: int) -> DataFrame:
-    """Every (tag, document, term) row with its term's counts; a window holds one term of one tag's sample."""
-    sizes = family.sizes(samples, terms, folds)
-    of_term = Window.partitionBy("tag", "term")
-    return terms.select(
-        "*",
-        *_cells(family.value(), folds, of_term),
-        F.row_number().over(of_term.orderBy("id")).alias("_nth"),
-    ).join(sizes, "tag")
+def _vocabulary(samples: DataFrame, terms: DataFrame, family, folds: int) -> DataFrame:
+    """One row per (tag, term) with its counts per (label, fold), added up before the shuffle, and the tag's sizes."""
+    counts = terms.groupBy("tag", "term").agg(*_cells(family.value(), folds))
+    return counts.join(family.sizes(samples, terms, folds), "tag")
 
 
 def prune_rare_terms(terms: DataFrame, min_documents: int) -> DataFrame:
     """Drop terms that occur in fewer documents of a tag's sample; a setting of the vocabulary, off by default."""
-    seen = F.count("*").over(Window.partitionBy("tag", "term"))
-    return terms.withColumn("_seen", seen).where(F.col("_seen") >= min_documents).drop("_seen")
+    kept = terms.groupBy("tag", "term").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_documents)
+    return terms.join(kept.select("tag", "term"), ["tag", "term"], "left_semi")
 
 
 def fold_scores(
@@ -156,39 +142,39 @@ def fold_scores(
     """
     family = FAMILIES[model]
     names = [f"a{i}" for i in range(len(alphas))]
-    counted = _counted(samples, terms, family, folds)
-    summed = counted.groupBy("tag", "id").agg(
+    vocabulary = _vocabulary(samples, terms, family, folds)
+
+    def by_fold(of, alpha: float) -> Column:
+        return F.array(*[of(folds, f, _smoothing(alpha)) for f in range(folds)])
+
+    # A term's weights without each fold are computed once per (tag, term); a row picks those of its own fold.
+    weights = vocabulary.select("tag", "term", *[by_fold(family.weight, a).alias(n) for n, a in zip(names, alphas)])
+    summed = (
+        terms.join(weights, ["tag", "term"])
+        .groupBy("tag", "id")
+        .agg(*[F.sum(family.score(F.get(n, F.col("fold")))).alias(n) for n in names])
+    )
+    shares = vocabulary.groupBy("tag").agg(
         *[
-            F.sum(family.score(_pick_fold([family.weight(folds, f, _smoothing(a)) for f in range(folds)]))).alias(name)
-            for name, a in zip(names, alphas)
+            F.array(*[F.sum(family.bias_share(folds, f, _smoothing(a))) for f in range(folds)]).alias("share_" + n)
+            for n, a in zip(names, alphas)
         ]
     )
-    shares = (
-        counted.where("_nth = 1")
-        .groupBy("tag")
-        .agg(
-            *[
-                F.sum(family.bias_share(folds, f, _smoothing(a))).alias(f"bias_{name}_{f}")
-                for name, a in zip(names, alphas)
-                for f in range(folds)
-            ]
-        )
-    )
     by_tag = _priors(samples, folds).join(shares, "tag", "left")
     scored = samples.join(summed, ["tag", "id"], "left").join(by_tag, "tag")
-    prior = _pick_fold([_log_prior(folds, f) for f in range(folds)])
+    prior = F.get(F.array(*[_log_prior(folds, f) for f in range(folds)]), F.col("fold"))
     outcomes = F.array(
         *[
             F.struct(
                 F.lit(float(a)).alias("alpha"),
                 (
-                    F.coalesce(F.col(name), F.lit(0.0))
-                    + F.coalesce(_pick_fold([F.col(f"bias_{name}_{f}") for f in range(folds)]), F.lit(0.0))
+                    F.coalesce(F.col(n), F.lit(0.0))
+                    + F.coalesce(F.get("share_" + n, F.col("fold")), F.lit(0.0))
                     + prior
                     > 0
                 ).alias("predicted"),
             )
-            for name, a in zip(names, alphas)
+            for n, a in zip(names, alphas)
         ]
     )
     long = scored.select("tag", "label", "fold", F.explode(outcomes).alias("o")).select("tag", "label", "fold", "o.*")
@@ -202,7 +188,7 @@ def fold_scores(
 def fit(samples: DataFrame, terms: DataFrame, model: str, best: DataFrame, folds: int = 3) -> DataFrame:
     """Models on whole samples: ``(tag, term, weight, bias)``, with the ``alpha`` that ``best (tag, alpha)`` names."""
     family = FAMILIES[model]
-    counted = _counted(samples, terms, family, folds).where("_nth = 1").join(best.select("tag", "alpha"), "tag")
+    counted = _vocabulary(samples, terms, family, folds).join(best.select("tag", "alpha"), "tag")
     alpha = _smoothing(F.col("alpha"))
     weights = counted.select(
         "tag",
