@@ -89,14 +89,14 @@ def clean_corpus_table(spark, folder):
     )
 )
 def squeezed_blanks(spark, folder):
-    questions = Q.questions_from_documents(spark, folder)
+    questions = Q.texts_from_documents(spark, folder)
     return questions.select("id", T.squeeze_blanks(F.col("body")).alias("body"))
 
 
 @area.add(with_sql("SELECT id, title || body AS glued, title || ' ' || body AS spaced FROM docs"))
 def model_input_text(spark, folder):
     title, body = F.col("title"), F.col("body")
-    return Q.questions_from_documents(spark, folder).select(
+    return Q.texts_from_documents(spark, folder).select(
         "id", T.model_text(title, body, sep="").alias("glued"), T.model_text(title, body).alias("spaced")
     )
 
@@ -124,7 +124,7 @@ def clean_document_text(spark, folder):
     )
 )
 def tokens(spark, folder):
-    words = clean.document_terms(clean.model_input(Q.questions_from_documents(spark, folder)))
+    words = clean.document_terms(clean.model_input(Q.texts_from_documents(spark, folder)))
     return words.select("id", F.array_join("terms", " ").alias("words"), F.size("terms").cast("long").alias("n"))
 
 
@@ -146,7 +146,7 @@ def tokens_without_stop_words(spark, folder):
     )
 )
 def words_and_pairs(spark, folder):
-    texts = clean.model_input(Q.questions_from_documents(spark, folder))
+    texts = clean.model_input(Q.texts_from_documents(spark, folder))
     terms = clean.document_terms(texts, STOP_WORDS, bigrams=True)
     return terms.select("id", F.array_join(F.array_prepend("terms", F.lit("")), ",").alias("terms"))
 

@@ -9,7 +9,7 @@ from labelloom.catalog.sampling import drawn
 from labelloom.operators import clean, keywords
 from labelloom.operators import features as X
 from labelloom.operators import tags as T
-from labelloom.sources.questions import questions_from_benchmark, questions_from_documents
+from labelloom.sources.questions import questions_from_benchmark, texts_from_documents
 
 area = Area()
 
@@ -45,7 +45,7 @@ KEYWORDS = {
 
 
 def document_texts(spark, folder):
-    return clean.model_input(questions_from_documents(spark, folder))
+    return clean.model_input(texts_from_documents(spark, folder))
 
 
 @area.add(with_sql("SELECT id, term, tf FROM counts"))
@@ -75,8 +75,8 @@ def tfidf(spark, folder):
 )
 def sample_tfidf(spark, folder):
     """Term weights of every tag's sample, all tags in one job."""
-    questions, samples = drawn(spark, folder, staged=True)
-    terms = X.sample_terms(samples.drop("label"), clean.model_input(questions), STOP_WORDS)
+    samples = drawn(spark, folder, staged=True)[1]
+    terms = X.sample_terms(samples.drop("label"), document_texts(spark, folder), STOP_WORDS)
     weights = X.tfidf(terms, samples.groupBy("tag").agg(F.count("*").alias("n")), "tag")
     return weights.select("tag", "id", "term", "tf", F.round("weight", 6).alias("weight"))
 
@@ -88,7 +88,7 @@ def hashed_features(spark, folder):
 
 def _keyword_scores(spark, folder):
     questions, samples = drawn(spark, folder, staged=True)
-    df, sizes = keywords.sample_statistics(samples, clean.model_input(questions), STOP_WORDS)
+    df, sizes = keywords.sample_statistics(samples, document_texts(spark, folder), STOP_WORDS)
     queries = questions_from_benchmark(spark, folder).select("id", F.col("body").alias("text"))
     candidates = keywords.default_candidates(queries, T.tag_histogram(questions))
     return keywords.keyword_scores(queries, candidates, df, sizes, STOP_WORDS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from labelloom.catalog.common import SPEC, STOP_WORDS, Area, with_sql
-from labelloom.catalog.features import KEYWORDS
+from labelloom.catalog.features import KEYWORDS, document_texts
 from labelloom.catalog.sampling import drawn
 from labelloom.functions.text import tag_array
 from labelloom.operators import bayes, clean, evaluate, keywords, sampling, scoring
@@ -100,7 +100,7 @@ def _training(spark, folder):
     """Questions, their sample with its folds, and the terms of the sample; the latter two as stored tables."""
     questions, samples = drawn(spark, folder)
     folded = stage(sampling.stratified_folds(samples, SPEC), "folds")
-    terms = stage(X.sample_terms(folded, clean.model_input(questions), STOP_WORDS), "sample-terms")
+    terms = stage(X.sample_terms(folded, document_texts(spark, folder), STOP_WORDS), "sample-terms")
     return questions, folded, terms
 
 
@@ -198,7 +198,7 @@ def bernoulli_models(spark, folder):
 
 def _suggested(spark, folder):
     questions, _, models = fitted(spark, folder)
-    documents = clean.document_terms(clean.model_input(questions), STOP_WORDS)
+    documents = clean.document_terms(document_texts(spark, folder), STOP_WORDS)
     truth = questions.select("id", tag_array(F.col("tags")).alias("target"))
     return scoring.suggest_tags(documents, models), truth
 
@@ -302,7 +302,7 @@ AFTER_CANDIDATES = ("gram_weights", "gram_unit", "gram_top", "gram_mean")
 def suggestions_with_keyword(spark, folder):
     """Suggestions for the benchmark passages with their best keyword appended."""
     questions, samples, models = fitted(spark, folder)
-    texts = clean.model_input(questions)
+    texts = document_texts(spark, folder)
     queries = questions_from_benchmark(spark, folder).select("id", F.col("body").alias("text"))
     predictions = stage(scoring.suggest_tags(clean.document_terms(queries, STOP_WORDS), models), "suggestions")
     candidates = keywords.candidate_tags(queries, predictions, T.tag_histogram(questions))

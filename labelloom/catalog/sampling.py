@@ -9,7 +9,7 @@ from labelloom.operators import sampling as S
 from labelloom.operators import tags as T
 from labelloom.session import new_path, stage
 from labelloom.sources import sinks
-from labelloom.sources.questions import questions_from_documents
+from labelloom.sources.questions import questions_from_documents, texts_from_documents
 
 area = Area()
 TAG = "good"
@@ -47,13 +47,13 @@ def sample_index(spark, folder):
 
 @area.add(with_sql("SELECT s.tag, d.id, d.title, d.body, s.label::INT AS label FROM sample s JOIN docs d USING (id)"))
 def sampled_documents(spark, folder):
-    questions, samples = drawn(spark, folder, staged=True)
-    return _label(S.sampled_documents(samples, questions).select("tag", "id", "title", "body", "label"))
+    samples = drawn(spark, folder, staged=True)[1]
+    return _label(S.sampled_documents(samples, texts_from_documents(spark, folder)).select("tag", "id", "title", "body", "label"))
 
 
 def _stored(spark, folder):
-    questions, samples = drawn(spark, folder, staged=True)
-    rows = S.sampled_documents(samples, questions).withColumn("code", F.array().cast("array<string>"))
+    samples = drawn(spark, folder, staged=True)[1]
+    rows = S.sampled_documents(samples, texts_from_documents(spark, folder)).withColumn("code", F.array().cast("array<string>"))
     path = new_path(spark, "sample-files")
     sinks.write_samples(rows.select("tag", "id", "title", "body", "code", "label"), path)
     return path

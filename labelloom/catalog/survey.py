@@ -38,17 +38,17 @@ def pca_features(spark, folder):
 
 
 def _training(spark, folder):
-    """Questions, the frequent tags, bucket weights and basis of all sampled documents, their features per tag."""
-    questions, samples = drawn(spark, folder)
+    """The frequent tags, bucket weights and basis of all sampled documents, their features per tag."""
+    samples = drawn(spark, folder)[1]
     folded = stage(sampling.stratified_folds(samples, SPEC), "folds")
-    rows, idf, basis = _fitted(X.sample_texts(folded, clean.model_input(questions)))
+    rows, idf, basis = _fitted(X.sample_texts(folded, document_texts(spark, folder)))
     features = stage(lsa.project(rows, basis).join(folded, "id"), "sample-features")
     tags = sorted(r["tag"] for r in folded.select("tag").distinct().collect())
-    return questions, tags, (idf, basis), lsa.as_vectors(features)
+    return tags, (idf, basis), lsa.as_vectors(features)
 
 
 def _survey(spark, folder, candidate):
-    _, tags, _, features = _training(spark, folder)
+    tags, _, features = _training(spark, folder)
     report = survey.analyze_tags(features, tags, [candidate])
     return report.withColumn("mean_f1", F.round("mean_f1", 4)).withColumn("two_std", F.round("two_std", 4))
 
@@ -77,10 +77,10 @@ def survey_gradient_boosting(spark, folder):
 @area.add()
 def suggest_with_saved_models(spark, folder):
     """Every question scored with the saved best model of every tag."""
-    questions, tags, (idf, basis), features = _training(spark, folder)
+    tags, (idf, basis), features = _training(spark, folder)
     path = new_path(spark, "tag-models")
     survey.analyze_tags(features, tags, [survey.bernoulli()], models_path=path)
-    texts = clean.model_input(questions)
+    texts = document_texts(spark, folder)
     documents = lsa.project(lsa.sparse_rows(_counts(texts), idf, texts), basis)
     models = survey.load_models(spark, path, tags)
     suggested = survey.suggest_with_models(lsa.as_vectors(documents), models)

@@ -53,6 +53,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts_from_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """``(id, title, body)``: what needs no tags should start here and leave the texts out of the join with labels."""
+    documents = spread_small(_table(spark, folder, "documents"), "doc_id")
+    return documents.select(
+        F.col("doc_id").alias("id"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.col("text").alias("body"),
+    )
+
+
 def questions_from_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as questions: first line = title, tags = language, source and label flags."""
     documents = spread_small(_table(spark, folder, "documents"), "doc_id")
