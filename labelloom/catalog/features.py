@@ -83,7 +83,7 @@ def sample_tfidf(spark, folder):
 
 @area.add(with_sql("SELECT id, bucket, tf FROM hashed", **HASHED))
 def hashed_features(spark, folder):
-    return X.hashed_counts(X.term_counts(document_texts(spark, folder), STOP_WORDS))
+    return X.hashed_counts(document_texts(spark, folder), STOP_WORDS)
 
 
 def _keyword_scores(spark, folder):

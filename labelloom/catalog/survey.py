@@ -14,21 +14,15 @@ from labelloom.session import new_path, stage
 area = Area()
 
 
-def _counts(texts):
-    return X.hashed_counts(X.term_counts(texts, STOP_WORDS))
-
-
 def _fitted(texts):
-    """Sparse rows of the texts, their bucket weights and the basis fitted on them."""
-    counts = stage(_counts(texts), "hashed-counts")
-    idf = stage(lsa.bucket_idf(counts, texts), "bucket-idf")
-    rows = stage(lsa.sparse_rows(counts, idf, texts), "sparse-rows")
-    return rows, idf, lsa.fit_lsa(rows)
+    """Sparse rows of the texts and the basis fitted on them."""
+    rows = stage(X.hashed_rows(texts, STOP_WORDS), "hashed-rows")
+    return rows, lsa.fit_lsa(rows)
 
 
 @area.add()
 def lsa_features(spark, folder):
-    rows, _, basis = _fitted(document_texts(spark, folder))
+    rows, basis = _fitted(document_texts(spark, folder))
     return lsa.project(rows, basis)
 
 
@@ -38,13 +32,13 @@ def pca_features(spark, folder):
 
 
 def _training(spark, folder):
-    """The frequent tags, bucket weights and basis of all sampled documents, their features per tag."""
+    """The frequent tags, the basis fitted on all sampled documents, and their features per tag."""
     samples = drawn(spark, folder)[1]
     folded = stage(sampling.stratified_folds(samples, SPEC), "folds")
-    rows, idf, basis = _fitted(X.sample_texts(folded, document_texts(spark, folder)))
+    rows, basis = _fitted(X.sample_texts(folded, document_texts(spark, folder)))
     features = stage(lsa.project(rows, basis).join(folded, "id"), "sample-features")
     tags = sorted(r["tag"] for r in folded.select("tag").distinct().collect())
-    return tags, (idf, basis), lsa.as_vectors(features)
+    return tags, basis, lsa.as_vectors(features)
 
 
 def _survey(spark, folder, candidate):
@@ -77,11 +71,10 @@ def survey_gradient_boosting(spark, folder):
 @area.add()
 def suggest_with_saved_models(spark, folder):
     """Every question scored with the saved best model of every tag."""
-    tags, (idf, basis), features = _training(spark, folder)
+    tags, basis, features = _training(spark, folder)
     path = new_path(spark, "tag-models")
     survey.analyze_tags(features, tags, [survey.bernoulli()], models_path=path)
-    texts = document_texts(spark, folder)
-    documents = lsa.project(lsa.sparse_rows(_counts(texts), idf, texts), basis)
+    documents = lsa.project(X.hashed_rows(document_texts(spark, folder), STOP_WORDS), basis)
     models = survey.load_models(spark, path, tags)
     suggested = survey.suggest_with_models(lsa.as_vectors(documents), models)
     return suggested.withColumn("tags", F.array_join("tags", " "))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.functions.text import count_terms, explode_runs, with_term_runs
+from labelloom.functions.text import count_terms, explode_once, explode_runs, with_hashed_runs, with_term_runs
 from labelloom.operators.clean import document_terms
 
 # Fixed value: number of hash buckets.
@@ -23,14 +23,13 @@ def document_frequency(counts: DataFrame, *keys: str) -> DataFrame:
     return counts.groupBy(*keys, "term").agg(F.count("*").alias("df"))
 
 
-def tfidf(counts: DataFrame, sizes: DataFrame, *keys: str, term: str = "term") -> DataFrame:
+def tfidf(counts: DataFrame, sizes: DataFrame, *keys: str) -> DataFrame:
     """Unit-length ``tf * (ln((1 + n) / (1 + df)) + 1)`` within each combination of ``keys``.
 
     ``sizes`` holds the number of documents ``n`` per combination (one row without keys). The join on the term is an
     equi-join that splits hot terms at run time, and the norm is taken over one document's terms.
     """
-    frequency = counts.groupBy(*keys, term).agg(F.count("*").alias("df"))
-    joined = counts.join(frequency, [*keys, term])
+    joined = counts.join(document_frequency(counts, *keys), [*keys, "term"])
     if keys:
         joined = joined.join(sizes, list(keys))
         n = F.col("n")
@@ -52,15 +51,15 @@ def sample_terms(samples: DataFrame, texts: DataFrame, stop_words: Sequence[str]
     return explode_runs(per_document.join(samples, "id"))
 
 
-def hashed_counts(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``(id, bucket, tf)``: terms are hashed with a sign, sums are made absolute, cancelled buckets drop out."""
-    digest = F.md5("term")
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % buckets
-    sign = F.when(F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2 == 0, F.lit(1)).otherwise(F.lit(-1))
-    keys = [c for c in counts.columns if c not in ("term", "tf")]
-    return (
-        counts.select(*keys, bucket.alias("bucket"), (sign * F.col("tf")).alias("tf"))
-        .groupBy(*keys, "bucket")
-        .agg(F.abs(F.sum("tf")).alias("tf"))
-        .where("tf > 0")
+def hashed_rows(texts: DataFrame, stop_words: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """``(id, buckets, counts)``: a sparse row of hashed counts for every text, also an empty one; no shuffle."""
+    runs = with_hashed_runs(with_term_runs(document_terms(texts, stop_words), "terms"), buckets)
+    return runs.select("id", F.col("runs.bucket").alias("buckets"), F.col("runs.tf").alias("counts"))
+
+
+def hashed_counts(texts: DataFrame, stop_words: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """``(id, bucket, tf)``, the rows of ``hashed_rows`` in long form."""
+    entries = hashed_rows(texts, stop_words, buckets).select("id", F.arrays_zip("buckets", "counts").alias("entries"))
+    return explode_once(entries, "entries", "entry").select(
+        "id", F.col("entry.buckets").alias("bucket"), F.col("entry.counts").alias("tf")
     )

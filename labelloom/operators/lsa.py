@@ -8,9 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.functions.text import explode_once
 from labelloom.operators.features import BUCKETS
 
 # 256 components are the original setting; a quarter of them keeps the passes short.
@@ -19,116 +20,104 @@ COMPONENTS = 64
 
 @dataclass(frozen=True)
 class LsaBasis:
-    """Right singular vectors (buckets x k) and singular values: fixed in size whatever the corpus."""
+    """Bucket weights, right singular vectors (buckets x k) and singular values: of fixed size whatever the corpus."""
 
+    idf: np.ndarray
     vectors: np.ndarray
     singular_values: np.ndarray
 
 
-def bucket_idf(hashed: DataFrame, documents: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``(bucket, idf)`` for every bucket, from the hashed counts of ``documents``: ``ln((1 + n) / (1 + df)) + 1``."""
-    frequency = hashed.groupBy("bucket").agg(F.count("*").alias("df"))
-    n = documents.agg(F.count("*").alias("n")).scalar()
-    every = hashed.sparkSession.range(buckets).select(F.col("id").alias("bucket"))
-    idf = F.log((1 + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
-    return every.join(frequency, "bucket", "left").select("bucket", idf.alias("idf"))
+def bucket_idf(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """``ln((1 + n) / (1 + df)) + 1`` of every bucket over the rows ``(id, buckets, counts)``."""
+    frequency = np.zeros(buckets)
+    used = explode_once(rows.select("buckets"), "buckets", "bucket").groupBy("bucket").agg(F.count("*").alias("df"))
+    for row in used.collect():
+        frequency[row["bucket"]] = row["df"]
+    return np.log((1 + rows.count()) / (1 + frequency)) + 1
 
 
-def sparse_rows(hashed: DataFrame, idf: DataFrame, documents: DataFrame) -> DataFrame:
-    """``(id, buckets, weights)``: a unit-length sparse TF-IDF row for each of ``documents``, empty ones included.
-
-    ``idf`` comes from the documents a basis is fitted on, also when other documents are projected. It has one row
-    per bucket, which is why it may be broadcast; a row never has more entries than there are buckets.
-    """
-    weight = (F.col("tf") * F.col("idf")).alias("weight")
-    entries = (
-        hashed.join(F.broadcast(idf), "bucket")
-        .groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("bucket", weight))).alias("_e"))
-    )
-    square = F.aggregate("_e", F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"])
-    unit = entries.withColumn("_norm", F.sqrt(square)).select(
-        "id",
-        F.col("_e.bucket").alias("buckets"),
-        F.transform("_e", lambda e: e["weight"] / F.col("_norm")).alias("weights"),
-    )
-    return documents.select("id").join(unit, "id", "left").select(
-        "id",
-        F.coalesce("buckets", F.array().cast("array<long>")).alias("buckets"),
-        F.coalesce("weights", F.array().cast("array<double>")).alias("weights"),
-    )
-
-
-def _flat(frame):
-    """Bucket, weight and local row number of every entry of a pandas batch."""
+def _entries(frame: pd.DataFrame, idf: np.ndarray):
+    """Bucket, weight and local row number of every entry of a batch; rows have unit length, empty ones no entry."""
     lengths = frame["buckets"].map(len).to_numpy()
-    return (
-        np.concatenate(frame["buckets"].to_numpy()).astype(np.int64),
-        np.concatenate(frame["weights"].to_numpy()).astype(np.float64),
-        np.repeat(np.arange(len(frame)), lengths),
-    )
-
-
-def _times(frame, matrix: np.ndarray) -> np.ndarray:
-    """Rows of the batch times a dense matrix with one row per bucket."""
-    buckets, weights, rows = _flat(frame)
-    columns = [
-        np.bincount(rows, weights * matrix[buckets, j], minlength=len(frame)) for j in range(matrix.shape[1])
-    ]
+    buckets = np.concatenate(frame["buckets"].to_numpy()).astype(np.int64)
+    weights = np.concatenate(frame["counts"].to_numpy()).astype(np.float64) * idf[buckets]
+    local = np.repeat(np.arange(len(frame)), lengths)
+    norms = np.sqrt(np.bincount(local, weights * weights, minlength=len(frame)))
+    return buckets, weights / norms[local], local
+
+
+def _times(buckets, weights, local, rows: int, matrix: np.ndarray) -> np.ndarray:
+    """The sparse rows times a dense matrix with one row per bucket."""
+    columns = [np.bincount(local, weights * matrix[buckets, j], minlength=rows) for j in range(matrix.shape[1])]
     return np.stack(columns, axis=1)
 
 
-def _gram_times(rows: DataFrame, matrix: np.ndarray) -> np.ndarray:
+def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """``(X'X) matrix`` in one pass: partitions add up their documents, one group per bucket adds up partitions."""
-    width, shape = matrix.shape[1], matrix.shape
-    shared = rows.sparkSession.sparkContext.broadcast(matrix)
+    shape = matrix.shape
+    names = [f"c{j}" for j in range(shape[1])]
+    shared = rows.sparkSession.sparkContext.broadcast((idf, matrix))
 
     def partial(batches):
+        idf, matrix = shared.value
         total = np.zeros(shape)
         for frame in batches:
             if len(frame):
-                buckets, weights, local = _flat(frame)
-                projected = _times(frame, shared.value)
-                for j in range(width):
+                buckets, weights, local = _entries(frame, idf)
+                projected = _times(buckets, weights, local, len(frame), matrix)
+                for j in range(shape[1]):
                     total[:, j] += np.bincount(buckets, weights * projected[local, j], minlength=shape[0])
         used = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pd.DataFrame(total[used], columns=[f"c{j}" for j in range(width)]).assign(bucket=used)
+        yield pd.DataFrame(total[used], columns=names).assign(bucket=used)
 
-    schema = ", ".join(f"c{j} double" for j in range(width)) + ", bucket long"
-    parts = rows.mapInPandas(partial, schema)
-    summed = parts.groupBy("bucket").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(width)]).toPandas()
+    parts = rows.mapInPandas(partial, ", ".join(f"{c} double" for c in names) + ", bucket long")
+    summed = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
     result = np.zeros(shape)
-    result[summed["bucket"].to_numpy()] = summed[[f"c{j}" for j in range(width)]].to_numpy()
+    result[summed["bucket"].to_numpy()] = summed[names].to_numpy()
     return result
 
 
 def fit_lsa(rows: DataFrame, k: int = COMPONENTS, buckets: int = BUCKETS, passes: int = 3, seed: int = 0) -> LsaBasis:
-    """Randomised truncated SVD of the uncentred rows ``(id, buckets, weights)``.
+    """Randomised truncated SVD of the uncentred, unit-length TF-IDF rows of ``(id, buckets, counts)``.
 
     Subspace iteration reads the stored rows ``passes + 1`` times. The driver only holds ``buckets x (k + 10)``
     numbers.
     """
+    idf = bucket_idf(rows, buckets)
     width = min(k + 10, buckets)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((buckets, width)))[0]
     for _ in range(passes):
-        basis = np.linalg.qr(_gram_times(rows, basis))[0]
-    values, rotation = np.linalg.eigh(basis.T @ _gram_times(rows, basis))
+        basis = np.linalg.qr(_gram_times(rows, idf, basis))[0]
+    values, rotation = np.linalg.eigh(basis.T @ _gram_times(rows, idf, basis))
     order = np.argsort(values)[::-1][:k]
-    return LsaBasis(basis @ rotation[:, order], np.sqrt(np.clip(values[order], 0, None)))
+    return LsaBasis(idf, basis @ rotation[:, order], np.sqrt(np.clip(values[order], 0, None)))
 
 
 def project(rows: DataFrame, basis: LsaBasis) -> DataFrame:
-    """``(id, features)`` as arrays."""
-    shared = rows.sparkSession.sparkContext.broadcast(basis.vectors)
+    """``(id, features)`` as arrays, weighed as the documents the basis was fitted on; every row stays."""
+    shared = rows.sparkSession.sparkContext.broadcast((basis.idf, basis.vectors))
 
     def rotate(batches):
+        idf, vectors = shared.value
         for frame in batches:
             if len(frame):
-                yield frame[["id"]].assign(features=list(_times(frame, shared.value)))
+                features = _times(*_entries(frame, idf), len(frame), vectors)
+                yield frame[["id"]].assign(features=list(features))
 
     return rows.mapInPandas(rotate, "id long, features array<double>")
 
 
+def basis_table(spark: SparkSession, basis: LsaBasis) -> DataFrame:
+    """``(bucket, idf, vector)``, a row per bucket, to be stored."""
+    lines = [(i, float(w), [float(x) for x in v]) for i, (w, v) in enumerate(zip(basis.idf, basis.vectors))]
+    return spark.createDataFrame(lines, "bucket long, idf double, vector array<double>")
+
+
+def load_basis(table: DataFrame) -> LsaBasis:
+    lines = table.orderBy("bucket").collect()
+    return LsaBasis(np.array([r["idf"] for r in lines]), np.array([r["vector"] for r in lines]), np.array([]))
+
+
 def as_vectors(features: DataFrame) -> DataFrame:
     return features.withColumn("features", array_to_vector("features"))
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,14 +96,9 @@ def survey_trained(
     samples = work.table("samples")
 
     texts = X.sample_texts(samples, _texts(work))
-    counts = work.table("sample_counts", lambda: X.hashed_counts(X.term_counts(texts, work.stop_words)))
-    idf = work.table("bucket_idf", lambda: lsa.bucket_idf(counts, texts))
-    rows = work.table("sample_rows", lambda: lsa.sparse_rows(counts, idf, texts))
-    if not work.has("lsa_basis"):
-        basis = lsa.fit_lsa(rows, components)
-        stored = [(i, [float(x) for x in row]) for i, row in enumerate(basis.vectors)]
-        work.table("lsa_basis", lambda: work.spark.createDataFrame(stored, "bucket long, vector array<double>"))
-    features = work.table("sample_features", lambda: lsa.project(rows, load_basis(work)).join(samples, "id"))
+    rows = work.table("sample_rows", lambda: X.hashed_rows(texts, work.stop_words))
+    stored = work.table("lsa_basis", lambda: lsa.basis_table(work.spark, lsa.fit_lsa(rows, components)))
+    features = work.table("sample_features", lambda: lsa.project(rows, lsa.load_basis(stored)).join(samples, "id"))
     wanted = work.table("frequent_tags").select("tag")
     if tags is not None:
         wanted = wanted.where(F.col("tag").isin(list(tags)))
@@ -122,12 +116,6 @@ def survey_trained(
     return report
 
 
-def load_basis(work: Workspace) -> lsa.LsaBasis:
-    """The stored basis; one row per hash bucket."""
-    rows = work.table("lsa_basis").orderBy("bucket").collect()
-    return lsa.LsaBasis(np.array([r["vector"] for r in rows]), np.array([]))
-
-
 def suggest(work: Workspace, questions: DataFrame, keyword: bool = False) -> DataFrame:
     """``(id, tags)`` for new questions from the stored Bernoulli models, optionally with the best keyword."""
     texts = clean.model_input(clean.clean_questions(questions), work.sep)
@@ -150,8 +138,8 @@ def suggest(work: Workspace, questions: DataFrame, keyword: bool = False) -> Dat
 def suggest_trained(work: Workspace, questions: DataFrame) -> DataFrame:
     """``(id, tags)`` for new questions from the saved best models of the survey."""
     texts = clean.model_input(clean.clean_questions(questions), work.sep)
-    counts = X.hashed_counts(X.term_counts(texts, work.stop_words))
-    documents = lsa.project(lsa.sparse_rows(counts, work.table("bucket_idf"), texts), load_basis(work))
+    rows = X.hashed_rows(texts, work.stop_words)
+    documents = lsa.project(rows, lsa.load_basis(work.table("lsa_basis")))
     report = work.spark.read.schema(survey.REPORT_SCHEMA).parquet(work.path("survey"))
     tags = [r["tag"] for r in report.select("tag").distinct().collect()]
     models = survey.load_models(work.spark, work.path("models"), tags)

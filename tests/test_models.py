@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from labelloom.operators import bayes, evaluate, keywords, lsa, scoring, survey
 from labelloom.operators import features as X
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="module")
 def training(spark):
@@ -102,20 +100,23 @@ def test_lsa_matches_dense_svd(spark):
     rng = random.Random(2)
     docs = [(i, [f"w{min(int(rng.expovariate(0.15)), 60)}" for _ in range(20)]) for i in range(120)] + [(999, [])]
     frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "id long, text string")
-    hashed = X.hashed_counts(X.term_counts(frame), 64)
-    rows = lsa.sparse_rows(hashed, lsa.bucket_idf(hashed, frame, 64), frame).cache()
+    rows = X.hashed_rows(frame, (), 64).cache()
     basis = lsa.fit_lsa(rows, k=5, buckets=64, passes=8)
     local = rows.toPandas()
-    dense = np.zeros((len(local), 64))
-    for i, (buckets, weights) in enumerate(zip(local["buckets"], local["weights"])):
-        dense[i, buckets] = weights
+    counts = np.zeros((len(local), 64))
+    for i, (buckets, values) in enumerate(zip(local["buckets"], local["counts"])):
+        counts[i, buckets] = values
+    weighed = counts * (np.log((1 + 121) / (1 + (counts > 0).sum(axis=0))) + 1)
+    norms = np.linalg.norm(weighed, axis=1, keepdims=True)
+    dense = weighed / np.where(norms > 0, norms, 1)
     _, values, vectors = np.linalg.svd(dense, full_matrices=False)
     assert np.allclose(basis.singular_values, values[:5], rtol=1e-3)
     projected = {r["id"]: r["features"] for r in lsa.project(rows, basis).collect()}
     assert len(projected) == 121 and projected[999] == [0.0] * 5
     expected = np.abs(dense @ vectors[0])
     assert np.allclose([abs(projected[i][0]) for i in local["id"]], expected, atol=1e-3)
-    assert np.allclose(np.linalg.norm(dense[local["id"] != 999], axis=1), 1)
+    stored = lsa.load_basis(lsa.basis_table(spark, basis))
+    assert np.array_equal(stored.vectors, basis.vectors) and np.array_equal(stored.idf, basis.idf)
 
 
 def test_survey_of_trained_models(spark, tmp_path):
