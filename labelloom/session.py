@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,11 @@ def build_session(app_name: str = "labelloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="labelloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``; a temporary folder only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,9 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="labelloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -7,6 +7,7 @@ from labelloom.operators import survey
 from labelloom.operators import tags as T
 from labelloom.operators.sampling import SampleSpec
 from labelloom.plans import jobs
+from labelloom.session import shared_dir
 from labelloom.sources import questions as Q
 from labelloom.sources import sinks
 
@@ -101,3 +102,18 @@ def test_trained_survey_resumes(work):
     suggested = jobs.suggest_trained(space, questions)
     scores = jobs.evaluate_suggestions(suggested, questions)
     assert scores.count() == 30 and scores.agg(F.avg("f1")).first()[0] > 0.6
+
+
+class _Session:
+    """Only what ``shared_dir`` asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder or default)})
+
+
+def test_shared_folder():
+    assert shared_dir(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(_Session("local[2]")) == shared_dir(_Session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("yarn"))
