@@ -104,7 +104,8 @@ def survey_trained(
         wanted = wanted.where(F.col("tag").isin(list(tags)))
     results = work.path("survey")
     schema = survey.REPORT_SCHEMA
-    done = work.spark.read.schema(schema).parquet(results) if work.has("survey") else work.spark.createDataFrame([], schema)
+    none = work.spark.createDataFrame([], schema)
+    done = work.spark.read.schema(schema).parquet(results) if work.has("survey") else none
     todo = [r["tag"] for r in sinks.pending_tags(wanted, done).orderBy("tag").collect()]
     for at in range(0, len(todo), batch):
         report = survey.analyze_tags(
@@ -112,7 +113,7 @@ def survey_trained(
         )
         report.coalesce(1).write.mode("append").parquet(results)
     report = work.spark.read.schema(schema).parquet(results)
-    sinks.write_score_table(evaluate.score_matrix(report), work.path("survey_csv"))
+    sinks.write_statistic(evaluate.score_matrix(report), work.path("survey_csv"))
     return report
 
 

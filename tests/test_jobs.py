@@ -98,6 +98,7 @@ def test_trained_survey_resumes(work):
     assert jobs.survey_trained(space, ["java"], candidates, components=4).count() == 1
     report = jobs.survey_trained(space, None, candidates, components=4)
     assert sorted(r["tag"] for r in report.collect()) == ["java", "python"]
+    assert space.spark.read.csv(space.path("survey_csv"), header=True).count() == 2
     questions = rows.where("id < 30")
     suggested = jobs.suggest_trained(space, questions)
     scores = jobs.evaluate_suggestions(suggested, questions)
