@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir()
 
 
+@cache
+def _ship_to(application: str) -> str:
+    """Zip of the package for one application; Spark serves the driver's copy to the executors."""
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="labelloom-ship-")) / "labelloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    return str(archive)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application; call it before a job whose functions import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(_ship_to(context.applicationId))
+        _shipped.add(context.applicationId)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
