@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chat, secrets
+from labelloom.llm import bpe, chat, pfor, secrets
 from labelloom.llm.common import documents, table
 
+def word_bpe() -> str:
+    """Place of the public tokenizer file the contracts name."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -33,6 +40,16 @@ def op1_secret_scan(spark, folder):
     )
 
 
+@query
+def op4_token_files(spark, folder):
+    return pfor.write_and_read(documents(spark, folder), word_bpe(), end_id=2)
+
+
+@query
+def op8_bpe_round_trip(spark, folder):
+    return bpe.encode_decode(documents(spark, folder), word_bpe())
+
+
 @query
 def op10_chat_windows(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
