@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, pfor, secrets
+from labelloom.llm import bpe, chat, linkgraph, oneperm, pfor, secrets, tiling
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -40,11 +40,26 @@ def op1_secret_scan(spark, folder):
     )
 
 
+@query
+def op2_decontamination(spark, folder):
+    return tiling.contaminated_pairs(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 @query
 def op4_token_files(spark, folder):
     return pfor.write_and_read(documents(spark, folder), word_bpe(), end_id=2)
 
 
+@query
+def op5_url_filter(spark, folder):
+    return linkgraph.judge(table(spark, folder, "pages"))
+
+
+@query
+def op7_fingerprints(spark, folder):
+    return oneperm.with_next(documents(spark, folder))
+
+
 @query
 def op8_bpe_round_trip(spark, folder):
     return bpe.encode_decode(documents(spark, folder), word_bpe())
@@ -105,3 +120,50 @@ SELECT t.conv_id, count(*) AS n_turns,
   any_value(x.formatted_chars)::BIGINT AS formatted_chars, any_value(x.n_windows)::BIGINT AS n_windows
 FROM turns t JOIN totals x ON t.conv_id = x.conv_id GROUP BY t.conv_id
 """.replace("'\n'", "chr(10)")
+
+
+def _url_filter_sql() -> str:
+    g = linkgraph
+    url = "coalesce(url, '')"
+    fits = "CASE " + " ".join(
+        f"WHEN (host = '{h}' OR suffix(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v} {h}{p}'"
+        for v, h, p in sorted(g.RULES, key=lambda r: -len(r[1] + r[2]))
+    ) + " END"
+    lower = lambda x: f"translate({x}, '{g.UPPER}', '{g.LOWER}')"
+    rounds = ""
+    for n in range(1, g.ROUNDS + 1):
+        rounds += f"""
+, m{n} AS MATERIALIZED (SELECT kind, host, sum(mass)::BIGINT AS mass FROM (
+    SELECT f.kind, f.dst AS host,
+      (mass::HUGEINT * links // all_links)::BIGINT * {g.DAMPING} // 100 AS mass
+    FROM m{n - 1} m JOIN flows f ON m.kind = f.kind AND m.host = f.src
+    UNION ALL SELECT kind, host, mass * {100 - g.DAMPING} // 100 FROM m0) GROUP BY kind, host)"""
+    href = g.HREF.replace("'", "''")
+    return f"""
+WITH placed AS (SELECT page_id, {lower(f"regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+    regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, html FROM pages)
+, ruled AS (SELECT page_id, host, path, {fits} AS found FROM placed)
+, links AS (SELECT host AS src, unnest(regexp_extract_all(html, '{href}', 1)) AS link FROM placed WHERE host <> '')
+, targets AS (SELECT src, CASE
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {lower("regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1)")}
+    WHEN starts_with(link, '//') THEN {lower("regexp_extract('x:' || link, '(?s)^.*?://([^/?#]*)', 1)")}
+    ELSE src END AS dst FROM links)
+, edges AS (SELECT src, dst, count(*) AS links FROM targets WHERE dst <> '' GROUP BY ALL)
+, both_ways AS (SELECT 0 AS kind, src, dst, links FROM edges UNION ALL SELECT 1, dst, src, links FROM edges)
+, flows AS (SELECT *, (sum(links) OVER (PARTITION BY kind, src))::BIGINT AS all_links FROM both_ways)
+, seeds AS (SELECT host, count(*) FILTER (WHERE found LIKE 'allow %') AS a, count(*) FILTER (WHERE found LIKE 'block %') AS b
+    FROM ruled WHERE host <> '' GROUP BY host)
+, m0 AS MATERIALIZED (
+    SELECT 0 AS kind, host, ({g.UNIT}::HUGEINT * a // (SELECT sum(a) FROM seeds))::BIGINT AS mass FROM seeds WHERE a > 0
+    UNION ALL SELECT 1, host, ({g.UNIT}::HUGEINT * b // (SELECT sum(b) FROM seeds))::BIGINT FROM seeds WHERE b > 0){rounds}
+, masses AS (SELECT host, coalesce(sum(mass) FILTER (WHERE kind = 0), 0)::BIGINT AS trust,
+    coalesce(sum(mass) FILTER (WHERE kind = 1), 0)::BIGINT AS distrust FROM m{g.ROUNDS} GROUP BY host)
+SELECT page_id, r.host, path, nullif(split_part(coalesce(found, ''), ' ', 2), '') AS rule,
+  CASE WHEN found IS NOT NULL THEN split_part(found, ' ', 1)
+    WHEN coalesce(distrust, 0) > {g.RATIO} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END AS verdict,
+  coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+FROM ruled r LEFT JOIN masses m ON r.host = m.host
+"""
+
+
+SQL["op5_url_filter"] = _url_filter_sql()
