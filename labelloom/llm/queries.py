@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, linkgraph, oneperm, pfor, secrets, tiling
+from labelloom.llm import bpe, chat, linkgraph, oneperm, pfor, probminhash, secrets, tiling
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -55,6 +55,11 @@ def op5_url_filter(spark, folder):
     return linkgraph.judge(table(spark, folder, "pages"))
 
 
+@query
+def op6_near_duplicates(spark, folder):
+    return probminhash.near_duplicates(documents(spark, folder))
+
+
 @query
 def op7_fingerprints(spark, folder):
     return oneperm.with_next(documents(spark, folder))
