@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, linkgraph, oneperm, pfor, probminhash, secrets, tiling
+from labelloom.llm import bpe, chat, cotrain, linkgraph, oneperm, pfor, probminhash, secrets, tiling
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -70,6 +70,13 @@ def op8_bpe_round_trip(spark, folder):
     return bpe.encode_decode(documents(spark, folder), word_bpe())
 
 
+@query
+def op9_quality_classifier(spark, folder):
+    docs = documents(spark, folder, "lang", "source", "n_chars")
+    model = cotrain.fit(docs, table(spark, folder, "labels"))
+    return cotrain.score(docs, model).withColumn("keep", F.col("p_good") >= 0.5)
+
+
 @query
 def op10_chat_windows(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
