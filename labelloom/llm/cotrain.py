@@ -142,7 +142,7 @@ class Rows:
         return np.repeat(np.arange(len(rows)), [len(p) for p in picked]), np.concatenate(picked) if picked else np.empty(0, int)
 
 
-def fit_logistic(x: Rows, rows: np.ndarray, y: np.ndarray, width: int, steps: int = 150, penalty: float = 0.3) -> np.ndarray:
+def fit_logistic(x: Rows, rows: np.ndarray, y: np.ndarray, width: int, steps: int = 300, penalty: float = 0.03) -> np.ndarray:
     """Weights and, last, the bias; full-batch Adam on the log loss with a squared penalty."""
     owner, column = x.flat(rows)
     weights, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
