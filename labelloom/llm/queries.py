@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, cotrain, linkgraph, oneperm, pfor, probminhash, secrets, tiling
+from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, tiling
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -45,6 +45,11 @@ def op2_decontamination(spark, folder):
     return tiling.contaminated_pairs(documents(spark, folder), table(spark, folder, "benchmark"))
 
 
+@query
+def op3_language_model(spark, folder):
+    return gru.score(documents(spark, folder))
+
+
 @query
 def op4_token_files(spark, folder):
     return pfor.write_and_read(documents(spark, folder), word_bpe(), end_id=2)
