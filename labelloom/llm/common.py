@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelloom.session import stage
@@ -25,6 +25,29 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit("")).alias(name)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is not among ``ids (doc_id)``; rows without an id stay."""
+    key = fresh(docs, "dropped_id")
+    dropped = ids.select(F.col("doc_id").alias(key))
+    return docs.join(dropped, docs["doc_id"] == F.col(key), "left_anti")
+
+
+def one_row_per_id(docs: DataFrame) -> DataFrame:
+    """One row of every ``doc_id``, the least by text; rows without an id all stay."""
+    place = fresh(docs, "place")
+    order = Window.partitionBy("doc_id").orderBy("text")
+    numbered = docs.withColumn(place, F.row_number().over(order))
+    return numbered.where(F.col("doc_id").isNull() | (F.col(place) == 1)).select(*docs.columns)
+
+
 def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once; the optimizer would repeat it for every element of a lambda."""
     return F.transform(F.array(value), body)[0]

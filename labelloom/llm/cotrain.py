@@ -288,12 +288,13 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     return co_train(frame) if len(frame) else None
 
 
-def score(docs: DataFrame, model: Model | None, keep_columns: bool = False) -> DataFrame:
-    """``doc_id, p_good, p_text, p_meta`` of every document, or with ``keep_columns`` all columns and ``p_good``."""
+def score(docs: DataFrame, model: Model | None, add: str | None = None) -> DataFrame:
+    """``doc_id, p_good, p_text, p_meta`` of every document, or all its columns and the probability under the name
+    ``add``."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # a few MB, fixed by the number of buckets
-    columns = docs.columns if keep_columns else ["doc_id"]
+    columns = docs.columns if add else ["doc_id"]
 
     def run(batches):
         from labelloom.llm import cotrain as c
@@ -312,13 +313,13 @@ def score(docs: DataFrame, model: Model | None, keep_columns: bool = False) -> D
                     text, meta = c.sigmoid(tm), c.sigmoid(mm)
                     good = c.sigmoid(tm * model.blend[0] + mm * model.blend[1] + model.blend[2])
                 out = {name: part.column(name) for name in columns}
-                out["p_good"] = pa.array(good)
-                if not keep_columns:
+                out[add or "p_good"] = pa.array(good)
+                if not add:
                     out |= {"p_text": pa.array(text), "p_meta": pa.array(meta)}
                 yield pa.RecordBatch.from_pydict(out)
 
     needed = list(dict.fromkeys([*columns, "text", "lang", "source", "n_chars"]))
-    schema = docs.select(*columns).withColumn("p_good", F.lit(0.0))
-    if not keep_columns:
+    schema = docs.select(*columns).withColumn(add or "p_good", F.lit(0.0))
+    if not add:
         schema = schema.withColumns({"p_text": F.lit(0.0), "p_meta": F.lit(0.0)})
     return docs.select(*needed).mapInArrow(run, schema.schema)

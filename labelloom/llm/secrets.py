@@ -167,39 +167,37 @@ def shown(spans: Column) -> Column:
 
 
 def redact(scanned: DataFrame, mark: str = "[secret]", text: str = "text") -> DataFrame:
-    """Replace every stretch covered by spans with one mark, and bring ``n_chars`` up to date where there is one."""
+    """``text`` of scanned rows with every stretch covered by spans replaced by one mark; other columns stay."""
     source = F.col(text)
+    reach = lambda spans: F.aggregate(spans, F.lit(-1), lambda a, s: F.greatest(a, s["end"]))
     # Spans come in order, so one opens a stretch when it starts after all ends before it.
-    reach = lambda before: F.aggregate(before, F.lit(-1), lambda a, s: F.greatest(a, s["end"]))
-    opens = F.filter("spans", lambda s, i: s["start"] > reach(F.slice("spans", F.lit(1), i)))
-    stretches = F.transform(
-        opens,
-        lambda o: F.struct(
-            o["start"].alias("start"),
-            # The stretch ends with the last span before the next opening.
-            F.lit(0).alias("unused"),
-        ),
-    )
-
-    def rebuilt(starts):
-        last = lambda i: reach(
-            F.filter("spans", lambda s: F.coalesce(s["start"] < F.get(starts, i + 1)["start"], F.lit(True)))
+    opening = F.filter("spans", lambda s, i: s["start"] > reach(F.slice("spans", F.lit(1), i)))
+    starts = F.transform(opening, lambda s: s["start"])
+
+    def stretches(at):
+        """Starts with the end of the last span before the next start."""
+        return F.transform(
+            at,
+            lambda start, i: F.struct(
+                start.alias("start"),
+                reach(F.filter("spans", lambda s: s["start"] < F.coalesce(F.get(at, i + 1), F.lit(2**31 - 1)))).alias("end"),
+            ),
         )
+
+    def rebuilt(cut):
         pieces = F.transform(
-            starts,
-            lambda o, i: F.concat(
+            cut,
+            lambda c, i: F.concat(
                 F.substring(
                     source,
-                    F.when(i == 0, F.lit(1)).otherwise(last(i - 1) + 1),
-                    o["start"] - F.when(i == 0, F.lit(0)).otherwise(last(i - 1)),
+                    F.when(i == 0, F.lit(1)).otherwise(F.get(cut, i - 1)["end"] + 1),
+                    c["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(cut, i - 1)["end"]),
                 ),
                 F.lit(mark),
             ),
         )
-        tail = F.substring(source, last(F.size(starts) - 1) + 1, F.char_length(source))
+        tail = F.substring(source, F.element_at(cut, -1)["end"] + 1, F.char_length(source))
         return F.concat(F.array_join(pieces, ""), tail)
 
-    fresh = F.when(F.size("spans") == 0, source).otherwise(let(stretches, rebuilt))
-    columns = [F.when(source.isNull(), source).otherwise(fresh).alias(text) if c == text else F.col(c) for c in scanned.columns]
-    out = scanned.select(*columns)
-    return out
+    cleaned = F.when(F.size("spans") > 0, let(starts, lambda at: let(stretches(at), rebuilt))).otherwise(source)
+    return scanned.withColumn(text, cleaned)
