@@ -218,7 +218,7 @@ def co_train(sample, rounds: int = ROUNDS) -> Model | None:
     """The model of a pandas frame of ``sampled_features``; none without labels of both kinds."""
     labelled = sample["good"].notna().to_numpy()
     good = sample["good"].where(labelled, False).astype(bool).to_numpy()
-    held = labelled & (sample["doc_id"].to_numpy() % 4 == 3)
+    held = labelled & (shingles.mix(sample["doc_id"].to_numpy().astype(np.uint64)) % np.uint64(4) == 3)
     train = labelled & ~held
     for part in (held, train):
         if good[part].all() or not good[part].any():
