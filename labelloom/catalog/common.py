@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from labelloom.operators.sampling import SampleSpec
 
-# Parameters that suit the size of the given tables. The smallest set has too few documents outside its main
-# language for 150 negatives, hence not strict.
-SPEC = SampleSpec(positives=60, negatives=150, more_than=60, strict=False)
+# Parameters that all given tables can fill: the smallest has 73 documents outside its main language.
+SPEC = SampleSpec(positives=60, negatives=60, more_than=60)
 IMPORTANT = 100
 STOP_WORDS = ("the", "of", "and", "to", "in", "is", "that", "for", "les", "des", "und", "die")
 JOINED = " | "

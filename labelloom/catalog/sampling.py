@@ -15,14 +15,15 @@ area = Area()
 TAG = "good"
 
 
-def drawn(spark, folder, staged: bool = False):
-    """Questions and the sample of all frequent tags."""
+def drawn(spark, folder):
+    """Questions and the stored sample of all frequent tags.
+
+    Everything is drawn from one narrow stored table of ids and tags; the texts are not read for it.
+    """
     questions = questions_from_documents(spark, folder)
-    selected = T.frequent_tags(T.tag_histogram(questions), SPEC.more_than)
-    if staged:
-        selected = stage(selected, "frequent-tags")
-    samples = S.tag_samples(questions, selected, SPEC)
-    return questions, stage(samples, "samples") if staged else samples
+    tagged = stage(questions.select("id", "tags"), "tagged")
+    selected = stage(T.frequent_tags(T.tag_histogram(tagged), SPEC.more_than), "frequent-tags")
+    return questions, stage(S.tag_samples(tagged, selected, SPEC), "samples")
 
 
 def _label(df):
@@ -47,12 +48,12 @@ def sample_index(spark, folder):
 
 @area.add(with_sql("SELECT s.tag, d.id, d.title, d.body, s.label::INT AS label FROM sample s JOIN docs d USING (id)"))
 def sampled_documents(spark, folder):
-    samples = drawn(spark, folder, staged=True)[1]
+    samples = drawn(spark, folder)[1]
     return _label(S.sampled_documents(samples, texts_from_documents(spark, folder)).select("tag", "id", "title", "body", "label"))
 
 
 def _stored(spark, folder):
-    samples = drawn(spark, folder, staged=True)[1]
+    samples = drawn(spark, folder)[1]
     rows = S.sampled_documents(samples, texts_from_documents(spark, folder)).withColumn("code", F.array().cast("array<string>"))
     path = new_path(spark, "sample-files")
     sinks.write_samples(rows.select("tag", "id", "title", "body", "code", "label"), path)

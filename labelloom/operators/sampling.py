@@ -62,8 +62,18 @@ def negative_sample(questions: DataFrame, selected: DataFrame, spec: SampleSpec)
     tag looks through a few slices and never through the corpus, and gaps in the ids do not matter. Should the
     slices ever hold too few documents the query fails instead of returning a short sample. A tag with fewer
     documents without it than asked for fails under ``strict`` and otherwise takes them all.
+
+    The check is a branch of the result that yields no rows: whatever columns are read and however they are counted,
+    it is run over every selected tag, also those without a single candidate.
     """
     total = questions.agg(F.count("*").alias("n")).scalar()
+    # Documents, not uses: a tag may stand twice in a row.
+    holders = (
+        questions.select(F.explode(F.array_distinct(tag_array(F.col("tags")))).alias("tag"))
+        .groupBy("tag")
+        .agg(F.count("*").alias("holders"))
+    )
+    selected = selected.select("tag").join(holders, "tag").withColumnRenamed("holders", "count")
     slices = F.greatest(F.floor(total / F.lit(spec.slice_rows)), F.lit(1))
     place = F.floor(F.col("at") / F.lit(float(CIRCLE)) * slices)
     others = F.col("total") - F.col("count")
@@ -80,7 +90,6 @@ def negative_sample(questions: DataFrame, selected: DataFrame, spec: SampleSpec)
         .select(
             "tag",
             F.col("at").alias("start"),
-            others.alias("available"),
             "slices",
             "first",
             "reach",
@@ -89,7 +98,6 @@ def negative_sample(questions: DataFrame, selected: DataFrame, spec: SampleSpec)
         .select(
             "tag",
             "start",
-            "available",
             (F.col("reach") == F.col("slices")).alias("whole"),
             "step",
             F.pmod(F.col("first") + F.col("step"), F.col("slices")).alias("slice"),
@@ -105,19 +113,28 @@ def negative_sample(questions: DataFrame, selected: DataFrame, spec: SampleSpec)
     candidates = (
         documents.join(starts, "slice")
         .where(reached & ~F.array_contains(F.col("tags"), F.col("tag")))
-        .select("tag", "id", "available", F.pmod(F.col("at") - F.col("start"), F.lit(CIRCLE)).alias("distance"))
+        .select("tag", "id", F.pmod(F.col("at") - F.col("start"), F.lit(CIRCLE)).alias("distance"))
     )
     of_tag = Window.partitionBy("tag")
-    wanted = F.lit(spec.negatives) if spec.strict else F.least(F.lit(spec.negatives), F.col("available"))
-    enough = F.when(F.col("found") >= wanted, F.lit(False)).otherwise(
-        F.raise_error(F.concat(F.lit("too few documents without tag "), F.col("tag"))).cast("boolean")
-    )
-    return (
-        candidates.withColumn("found", F.count("*").over(of_tag))
-        .withColumn("rank", F.row_number().over(of_tag.orderBy("distance", "id")))
+    chosen = (
+        candidates.withColumn("rank", F.row_number().over(of_tag.orderBy("distance", "id")))
         .where(F.col("rank") <= spec.negatives)
-        .select("tag", "id", enough.alias("label"))
+        .select("tag", "id", F.lit(False).alias("label"))
+    )
+    found = chosen.groupBy("tag").agg(F.count("id").alias("found"))
+    available = F.col("total") - F.col("count")
+    wanted = F.lit(spec.negatives) if spec.strict else F.least(F.lit(spec.negatives), available)
+    short = (
+        selected.withColumn("total", total)
+        .join(found, "tag", "left")
+        .where(
+            F.when(F.coalesce("found", F.lit(0)) >= wanted, F.lit(False)).otherwise(
+                F.raise_error(F.concat(F.lit("too few documents without tag "), F.col("tag"))).cast("boolean")
+            )
+        )
     )
+    none = short.select("tag", F.lit(None).cast("long").alias("id"), F.lit(False).alias("label"))
+    return chosen.unionByName(none)
 
 
 def tag_samples(questions: DataFrame, selected: DataFrame, spec: SampleSpec) -> DataFrame:

@@ -41,10 +41,8 @@ def compare(spark, connection, folder: str, name: str) -> tuple[bool, str]:
     cursor = connection.execute(SQL[name])
     theirs = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     spent_sql = time.time() - start
-    if ours == theirs and ours[1]:
+    if ours == theirs:
         return True, f"{len(ours[1])} rows, {spent:.1f} s, SQL {spent_sql:.1f} s"
-    if not ours[1]:
-        return False, "no rows"
     if ours[0] != theirs[0]:
         return False, f"columns {ours[0]} / {theirs[0]}"
     mine, other = set(ours[1]) - set(theirs[1]), set(theirs[1]) - set(ours[1])

@@ -60,6 +60,22 @@ def test_short_corpus_fails_loudly_or_takes_all(spark):
     assert S.negative_sample(questions, selected, S.SampleSpec(negatives=60, strict=False)).count() == 50
 
 
+def test_short_samples_fail_however_they_are_read(spark):
+    questions = corpus(spark, 100, {"t": 2, "all": 1})
+    for tag, negatives in (("t", 60), ("all", 1)):
+        selected = T.tag_histogram(questions).where(F.col("tag") == tag)
+        sample = S.negative_sample(questions, selected, S.SampleSpec(negatives=negatives))
+        for read in (lambda: sample.count(), lambda: sample.select("tag", "id").collect()):
+            with pytest.raises(Exception, match="too few documents without tag"):
+                read()
+
+
+def test_repeated_tags_in_a_row_count_once(spark):
+    questions = spark.range(200).select("id", F.when(F.col("id") < 100, "t t").otherwise("u").alias("tags"))
+    selected = T.tag_histogram(questions).where("tag = 't'")
+    assert S.negative_sample(questions, selected, S.SampleSpec(negatives=100)).count() == 100
+
+
 def test_folds_are_even(spark):
     questions = corpus(spark, 3000, {"half": 2, "third": 3})
     spec = S.SampleSpec(positives=60, negatives=150, more_than=500)
@@ -71,12 +87,12 @@ def test_folds_are_even(spark):
 
 
 def test_sample_index(spark):
-    rows = [("hello", 1, True), ("hello", 3, False), ("world", 3, True), ("world", 5, False)]
+    rows = [("spring", 40, False), ("autumn", 12, True), ("spring", 12, True), ("winter", 12, False), ("autumn", 7, False)]
     index = S.sample_index(spark.createDataFrame(rows, "tag string, id long, label boolean"))
     assert {r["id"]: [tuple(t) for t in r["tags"]] for r in index.collect()} == {
-        1: [("hello", True)],
-        3: [("hello", False), ("world", True)],
-        5: [("world", False)],
+        7: [("autumn", False)],
+        12: [("autumn", True), ("spring", True), ("winter", False)],
+        40: [("spring", False)],
     }
 
 
