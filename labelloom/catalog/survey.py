@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from labelloom.catalog.common import SPEC, STOP_WORDS, Area
 from labelloom.catalog.features import document_texts
 from labelloom.catalog.sampling import drawn
-from labelloom.operators import clean, lsa, sampling, survey
+from labelloom.operators import lsa, sampling, survey
 from labelloom.operators import features as X
 from labelloom.session import new_path, stage
 
@@ -28,7 +28,8 @@ def lsa_features(spark, folder):
 
 @area.add()
 def pca_features(spark, folder):
-    return lsa.pca_features(clean.document_terms(document_texts(spark, folder), STOP_WORDS))
+    rows = stage(X.hashed_rows(document_texts(spark, folder), STOP_WORDS), "hashed-rows")
+    return lsa.project(rows, lsa.fit_pca(rows))
 
 
 def _training(spark, folder):

@@ -6,25 +6,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import explode_once
 from labelloom.operators.features import BUCKETS
+from labelloom.session import ship_package
 
-# 256 components are the original setting; a quarter of them keeps the passes short.
-COMPONENTS = 64
+# Components of the truncated SVD and of the principal component analysis.
+COMPONENTS = 256
+PRINCIPAL = 40
 
 
 @dataclass(frozen=True)
 class LsaBasis:
-    """Bucket weights, right singular vectors (buckets x k) and singular values: of fixed size whatever the corpus."""
+    """Bucket weights, right singular vectors (buckets x k) and singular values: of fixed size whatever the corpus.
+
+    ``center`` is what is taken off a row's projection, and ``unit`` whether rows are brought to unit length first.
+    """
 
     idf: np.ndarray
     vectors: np.ndarray
     singular_values: np.ndarray
+    center: np.ndarray | None = None
+    unit: bool = True
 
 
 def bucket_idf(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -36,12 +42,14 @@ def bucket_idf(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     return np.log((1 + rows.count()) / (1 + frequency)) + 1
 
 
-def _entries(frame: pd.DataFrame, idf: np.ndarray):
-    """Bucket, weight and local row number of every entry of a batch; rows have unit length, empty ones no entry."""
+def _entries(frame: pd.DataFrame, idf: np.ndarray, unit: bool = True):
+    """Bucket, weight and local row number of every entry of a batch; with ``unit``, rows have unit length."""
     lengths = frame["buckets"].map(len).to_numpy()
     buckets = np.concatenate(frame["buckets"].to_numpy()).astype(np.int64)
     weights = np.concatenate(frame["counts"].to_numpy()).astype(np.float64) * idf[buckets]
     local = np.repeat(np.arange(len(frame)), lengths)
+    if not unit:
+        return buckets, weights, local
     norms = np.sqrt(np.bincount(local, weights * weights, minlength=len(frame)))
     return buckets, weights / norms[local], local
 
@@ -52,8 +60,9 @@ def _times(buckets, weights, local, rows: int, matrix: np.ndarray) -> np.ndarray
     return np.stack(columns, axis=1)
 
 
-def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray, unit: bool = True) -> np.ndarray:
     """``(X'X) matrix`` in one pass: partitions add up their documents, one group per bucket adds up partitions."""
+    ship_package(rows.sparkSession)
     shape = matrix.shape
     names = [f"c{j}" for j in range(shape[1])]
     shared = rows.sparkSession.sparkContext.broadcast((idf, matrix))
@@ -63,7 +72,7 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray) -> np.ndar
         total = np.zeros(shape)
         for frame in batches:
             if len(frame):
-                buckets, weights, local = _entries(frame, idf)
+                buckets, weights, local = _entries(frame, idf, unit)
                 projected = _times(buckets, weights, local, len(frame), matrix)
                 for j in range(shape[1]):
                     total[:, j] += np.bincount(buckets, weights * projected[local, j], minlength=shape[0])
@@ -95,13 +104,16 @@ def fit_lsa(rows: DataFrame, k: int = COMPONENTS, buckets: int = BUCKETS, passes
 
 def project(rows: DataFrame, basis: LsaBasis) -> DataFrame:
     """``(id, features)`` as arrays, weighed as the documents the basis was fitted on; every row stays."""
-    shared = rows.sparkSession.sparkContext.broadcast((basis.idf, basis.vectors))
+    ship_package(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(basis)
 
     def rotate(batches):
-        idf, vectors = shared.value
+        basis = shared.value
         for frame in batches:
             if len(frame):
-                features = _times(*_entries(frame, idf), len(frame), vectors)
+                features = _times(*_entries(frame, basis.idf, basis.unit), len(frame), basis.vectors)
+                if basis.center is not None:
+                    features = features - basis.center
                 yield frame[["id"]].assign(features=list(features))
 
     return rows.mapInPandas(rotate, "id long, features array<double>")
@@ -122,8 +134,28 @@ def as_vectors(features: DataFrame) -> DataFrame:
     return features.withColumn("features", array_to_vector("features"))
 
 
-def pca_features(terms: DataFrame, k: int = 40, buckets: int = 512) -> DataFrame:
-    """``(id, features)``: principal components of hashed counts of ``(id, terms)``."""
-    counts = HashingTF(inputCol="terms", outputCol="_counts", numFeatures=buckets).transform(terms)
-    model = PCA(k=k, inputCol="_counts", outputCol="features").fit(counts)
-    return model.transform(counts).select("id", vector_to_array("features").alias("features"))
+def fit_pca(rows: DataFrame, k: int = PRINCIPAL, buckets: int = BUCKETS, passes: int = 3, seed: int = 0) -> LsaBasis:
+    """Principal components of the hashed counts ``(id, buckets, counts)``, by the same subspace iteration.
+
+    Rows are never centred: the mean is taken off the products, which keeps them sparse. ``singular_values`` are
+    standard deviations along the components.
+    """
+    n, mean = rows.count(), np.zeros(buckets)
+    entries = explode_once(
+        rows.select(F.arrays_zip("buckets", "counts").alias("entries")), "entries", "entry"
+    ).select(F.col("entry.buckets").alias("bucket"), F.col("entry.counts").alias("tf"))
+    for row in entries.groupBy("bucket").agg(F.sum("tf").alias("tf")).collect():  # at most one row per bucket
+        mean[row["bucket"]] = row["tf"] / max(n, 1)
+    plain, width = np.ones(buckets), min(k + 10, buckets)
+
+    def centred(matrix: np.ndarray) -> np.ndarray:
+        return _gram_times(rows, plain, matrix, unit=False) - n * np.outer(mean, mean @ matrix)
+
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((buckets, width)))[0]
+    for _ in range(passes):
+        basis = np.linalg.qr(centred(basis))[0]
+    values, rotation = np.linalg.eigh(basis.T @ centred(basis))
+    order = np.argsort(values)[::-1][:k]
+    vectors = basis @ rotation[:, order]
+    spread = np.sqrt(np.clip(values[order], 0, None) / max(n - 1, 1))
+    return LsaBasis(plain, vectors, spread, center=mean @ vectors, unit=False)

@@ -29,7 +29,7 @@ GBT_TREES = (100, 200, 300)
 IMPURITIES = ("gini", "entropy")
 FEATURE_SUBSETS = ("sqrt", "log2")
 MIN_ROWS = (1, 2)
-MAX_DEPTH = 20
+MAX_DEPTH = 30
 
 
 @dataclass(frozen=True)

@@ -96,6 +96,42 @@ def test_tags_with_positive_bias_reach_documents_without_their_terms(spark):
     assert found == {1: ["shut"], 2: []}
 
 
+def test_many_models_in_blocks_and_without_a_shuffle(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    rows = [
+        (f"t{t:04d}", w, rng.choice([-1.0, 0.5, 2.0]), -0.75) for t in range(1200) for w in rng.sample(words, 4)
+    ]
+    models = spark.createDataFrame(rows, "tag string, term string, weight double, bias double")
+    texts = [(i, rng.choices(words, k=5)) for i in range(40)] + [(99, [])]
+    documents = spark.createDataFrame(texts, "id long, terms array<string>")
+    one = scoring.suggest_tags(documents, models)
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    found = {r["id"]: r["tags"] for r in one.collect()}
+    blocks = {r["id"]: r["tags"] for r in scoring.suggest_tags(documents, models, block_rows=1000).collect()}
+    weight = {(t, w): x for t, w, x, _ in rows}
+    tags = sorted({t for t, *_ in rows})
+    for i, terms in texts:
+        expected = [t for t in tags if sum(weight.get((t, w), 0.0) for w in set(terms)) - 0.75 > 0]
+        assert found[i] == expected == blocks[i]
+
+
+def test_pca_matches_dense(spark):
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"w{min(int(rng.expovariate(0.2)), 40)}" for _ in range(25))) for i in range(150)]
+    rows = X.hashed_rows(spark.createDataFrame(docs, "id long, text string"), (), 32).cache()
+    model = lsa.fit_pca(rows, k=4, buckets=32, passes=8)
+    local = rows.toPandas()
+    counts = np.zeros((len(local), 32))
+    for i, (buckets, values) in enumerate(zip(local["buckets"], local["counts"])):
+        counts[i, buckets] = values
+    dense = counts - counts.mean(axis=0)
+    _, values, vectors = np.linalg.svd(dense, full_matrices=False)
+    assert np.allclose(model.singular_values, values[:4] / math.sqrt(149), rtol=1e-3)
+    projected = {r["id"]: r["features"] for r in lsa.project(rows, model).collect()}
+    assert np.allclose([abs(projected[i][0]) for i in local["id"]], np.abs(dense @ vectors[0]), atol=1e-3)
+
+
 def test_lsa_matches_dense_svd(spark):
     rng = random.Random(2)
     docs = [(i, [f"w{min(int(rng.expovariate(0.15)), 60)}" for _ in range(20)]) for i in range(120)] + [(999, [])]
