@@ -55,16 +55,12 @@ def question_csv_scan(spark, folder):
     return Q.read_questions_csv(spark, path)
 
 
-@area.add(
-    """SELECT conv_id AS id, text AS body FROM (
-        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r = 1"""
-)
+@area.add(with_sql("SELECT id % 20 AS id, body, code, code_blocks FROM cleaned WHERE id IN (SELECT max(id) FROM cleaned GROUP BY id % 20)", **CLEAN))
 def corpus_by_id(spark, folder):
-    """The last row of each id wins; turns of a conversation are the repeated rows."""
-    rows = spark.read.parquet(f"{folder}/conversations.parquet").select(
-        F.col("conv_id").alias("id"), "turn", F.col("text").alias("body")
-    )
-    return Q.latest_by_id(rows, "turn")
+    """Pages under ids that repeat: the last row of each id wins and is cleaned."""
+    pages = Q.questions_from_pages(spark, folder).withColumn("line", F.col("id")).withColumn("id", F.col("id") % 20)
+    latest = Q.latest_by_id(pages, "line")
+    return _shown(clean.clean_questions(latest)).drop("title")
 
 
 @area.add(with_sql("SELECT id, body, code, code_blocks FROM cleaned", **CLEAN))
@@ -151,11 +147,20 @@ def words_and_pairs(spark, folder):
     return terms.select("id", F.array_join(F.array_prepend("terms", F.lit("")), ",").alias("terms"))
 
 
-@area.add("SELECT DISTINCT lang AS word FROM documents")
+# Every word of the benchmark is a stop word here, so that the list is as long as the data makes it.
+@area.add(
+    with_sql(
+        f"""SELECT id, count(*) AS kept FROM (SELECT id, unnest({tokens_sql('text')}) AS word FROM texts) t
+            WHERE word NOT IN (SELECT unnest({tokens_sql('text')}) FROM benchmark) GROUP BY id"""
+    )
+)
 def stop_word_file(spark, folder):
-    """A word list with blanks around its words, loaded and used as a filter on the words of a table."""
+    """A word list with blanks around its words, loaded as a table and taken out of the words of all documents."""
     path = new_path(spark, "stop-words")
-    langs = spark.read.parquet(f"{folder}/documents.parquet").select("lang").distinct()
-    langs.select(F.concat(F.lit("  "), "lang", F.lit(" ")).alias("value")).write.text(path)
-    loaded = Q.load_stop_words(spark, path)
-    return langs.where(F.col("lang").isin(loaded)).select(F.col("lang").alias("word"))
+    listed = clean.document_terms(spark.read.parquet(f"{folder}/benchmark.parquet").select(F.col("item_id").alias("id"), "text"))
+    words = listed.select(F.explode("terms").alias("word")).distinct()
+    words.select(F.concat(F.lit("  "), "word", F.lit(" ")).alias("value")).write.text(path)
+    texts = clean.model_input(Q.texts_from_documents(spark, folder))
+    terms = clean.without_stop_words(clean.document_terms(texts), Q.load_stop_words(spark, path))
+    return terms.groupBy("id").agg(F.count("*").alias("kept"))
+

@@ -71,12 +71,12 @@ def inverted_index(spark, folder):
 @area.add(
     with_sql(
         f"""SELECT id, title, body, tags FROM docs WHERE id IN (
-            SELECT u.id FROM uses u JOIN hist h ON u.tag = h.tag WHERE h.count >= {IMPORTANT} AND h.tag <> 'en')"""
+            SELECT u.id FROM uses u JOIN hist h ON u.tag = h.tag WHERE h.count >= {IMPORTANT})"""
     )
 )
 def important_records(spark, folder):
     questions = questions_from_documents(spark, folder)
-    selected = T.important_tags(T.tag_histogram(questions), IMPORTANT).where("tag <> 'en'")
+    selected = T.important_tags(T.tag_histogram(questions), IMPORTANT)
     return T.important_records(questions, selected)
 
 

@@ -31,3 +31,9 @@ def document_terms(
     if bigrams:
         words = words.select(*others, T.with_bigrams(F.col("terms")).alias("terms"))
     return words
+
+
+def without_stop_words(documents: DataFrame, words: DataFrame) -> DataFrame:
+    """``(id, term)``, a row per kept occurrence, of ``(id, terms)`` without the ``word``s of a table of any length."""
+    rows = documents.select("id", F.explode("terms").alias("term"))
+    return rows.join(words, rows["term"] == words["word"], "left_anti")

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from labelloom.functions.text import tag_array
 from labelloom.session import stage
 
-LITERAL_TAG_LIMIT = 100_000
-
 
 def tag_uses(questions: DataFrame) -> DataFrame:
     """``(tag, id)``, one row per use: the inverted index in long form."""
@@ -70,17 +68,11 @@ def indexed_tags(selected: DataFrame) -> DataFrame:
     return numbered.join(offsets, "range").select((F.col("offset") + F.col("position")).alias("index"), "tag")
 
 
-def important_records(questions: DataFrame, selected: DataFrame, literal_limit: int = LITERAL_TAG_LIMIT) -> DataFrame:
+def important_records(questions: DataFrame, selected: DataFrame) -> DataFrame:
     """Questions with at least one selected tag, each once.
 
-    A checked short selection becomes a literal hash set and the rows are filtered where they lie; a longer one is
-    joined on ``(tag)`` and the matching ids are semi-joined back.
+    Only ids and tags meet the selection; the matching ids are semi-joined back to the whole rows.
     """
-    names = [r["tag"] for r in selected.select("tag").take(literal_limit + 1)]
-    if len(names) <= literal_limit:
-        if not names:
-            return questions.limit(0)
-        return questions.where(F.exists(tag_array(F.col("tags")), lambda t: t.isin(names)))
     ids = tag_uses(questions).join(selected.select("tag"), "tag", "left_semi").select("id").distinct()
     return questions.join(ids, "id", "left_semi")
 

@@ -1,11 +1,13 @@
 """The three jobs: prepare a corpus and its samples, survey models per tag, suggest tags and evaluate.
 
-Every step is a Parquet table under ``home``. A step whose table is complete is not run again, so a job that lost its
-driver continues where it stopped, and later joins are planned with the sizes of the tables.
+Every step is a Parquet table in a folder under ``home`` that belongs to the parameters, so other parameters never meet
+old tables. A step whose table is complete is not run again, so a job that lost its driver continues where it stopped,
+and later joins are planned with the sizes of the tables.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -19,6 +21,7 @@ from labelloom.operators import tags as T
 from labelloom.operators.sampling import SampleSpec
 from labelloom.session import stage
 from labelloom.sources import sinks
+from labelloom.sources.questions import latest_by_id
 
 
 @dataclass
@@ -28,9 +31,13 @@ class Workspace:
     spec: SampleSpec = field(default_factory=SampleSpec)
     stop_words: Sequence[str] = ()
     sep: str = " "
+    with_code: bool = False
+    corpus: str = "questions"
 
     def path(self, name: str) -> str:
-        return f"{self.home}/{name}"
+        """Below a folder named by everything that shapes the tables; ``corpus`` names the questions."""
+        settings = repr((self.corpus, self.spec, sorted(self.stop_words), self.sep, self.with_code))
+        return f"{self.home}/{self.corpus}-{hashlib.sha256(settings.encode()).hexdigest()[:12]}/{name}"
 
     def has(self, name: str) -> bool:
         """Whether a table was written to its end (its success marker exists)."""
@@ -44,10 +51,16 @@ class Workspace:
         return self.spark.read.parquet(self.path(name))
 
 
-def prepare(work: Workspace, questions: DataFrame) -> None:
-    """Clean corpus, tag statistics, inverted index, frequent tags, folded samples, one folder of rows per tag."""
-    tagged = work.table("questions", lambda: questions)
-    corpus = work.table("corpus", lambda: clean.clean_questions(tagged))
+def prepare(work: Workspace, questions: DataFrame, order: str | None = None) -> None:
+    """Clean corpus, tag statistics, inverted index, frequent tags, folded samples, one folder of rows per tag.
+
+    With ``order``, a column of the questions, only the last row of every id is taken. Statistics and samples are drawn
+    from a narrow table without texts.
+    """
+    rows = latest_by_id(questions, order) if order else questions
+    stored = work.table("questions", lambda: rows)
+    corpus = work.table("corpus", lambda: clean.clean_questions(stored))
+    tagged = work.table("tagged", lambda: stored.select("id", "tags"))
     histogram = work.table("tag_histogram", lambda: T.tag_histogram(tagged))
     if not work.has("inverted_index"):
         sinks.write_inverted_index(T.tag_uses(tagged), work.path("inverted_index"))
@@ -61,7 +74,7 @@ def prepare(work: Workspace, questions: DataFrame) -> None:
 
 
 def _texts(work: Workspace) -> DataFrame:
-    return clean.model_input(work.table("corpus"), work.sep)
+    return clean.model_input(work.table("corpus"), work.sep, work.with_code)
 
 
 def survey_bayes(work: Workspace) -> DataFrame:
@@ -119,7 +132,7 @@ def survey_trained(
 
 def suggest(work: Workspace, questions: DataFrame, keyword: bool = False) -> DataFrame:
     """``(id, tags)`` for new questions from the stored Bernoulli models, optionally with the best keyword."""
-    texts = clean.model_input(clean.clean_questions(questions), work.sep)
+    texts = clean.model_input(clean.clean_questions(questions), work.sep, work.with_code)
     predictions = scoring.suggest_tags(clean.document_terms(texts, work.stop_words), work.table("bayes_models"))
     if not keyword:
         return predictions
@@ -138,7 +151,7 @@ def suggest(work: Workspace, questions: DataFrame, keyword: bool = False) -> Dat
 
 def suggest_trained(work: Workspace, questions: DataFrame) -> DataFrame:
     """``(id, tags)`` for new questions from the saved best models of the survey."""
-    texts = clean.model_input(clean.clean_questions(questions), work.sep)
+    texts = clean.model_input(clean.clean_questions(questions), work.sep, work.with_code)
     rows = X.hashed_rows(texts, work.stop_words)
     documents = lsa.project(rows, lsa.load_basis(work.table("lsa_basis")))
     report = work.spark.read.schema(survey.REPORT_SCHEMA).parquet(work.path("survey"))
@@ -147,6 +160,20 @@ def suggest_trained(work: Workspace, questions: DataFrame) -> DataFrame:
     return survey.suggest_with_models(lsa.as_vectors(documents), models)
 
 
+def demonstrate(work: Workspace, tag: str, questions: DataFrame, keyword: bool = False) -> DataFrame:
+    """The whole way for one tag's sample: its neighbouring tags, its questions and their true tags, suggestions and
+    their mean score, all stored under ``demo``; returns the means."""
+    sample = work.table("samples").where(F.col("tag") == tag).select("id")
+    chosen = work.table("demo_questions", lambda: questions.join(sample.distinct(), "id", "left_semi"))
+    candidates = work.table("frequent_tags").select("tag")
+    work.table("demo_neighbours", lambda: T.neighbouring_tags(work.table("tagged"), tag, candidates))
+    work.table("demo_targets", lambda: chosen.select("id", tag_array(F.col("tags")).alias("target")))
+    if not work.has("demo_predictions"):
+        sinks.write_predictions(suggest(work, chosen, keyword), work.path("demo_predictions"))
+    scores = evaluate.document_f1(work.table("demo_predictions"), work.table("demo_targets"))
+    return evaluate.mean_document_f1(work.table("demo_scores", lambda: scores))
+
+
 def evaluate_suggestions(predictions: DataFrame, questions: DataFrame) -> DataFrame:
     truth = questions.select("id", tag_array(F.col("tags")).alias("target"))
     return evaluate.document_f1(predictions, truth)

@@ -6,47 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUESTION_SCHEMA = "id LONG, title STRING, body STRING, tags STRING"
-STOP_WORD_LIMIT = 100_000
 
 
 def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Give every core some rows of an input too small to be cut into one scan split per core.
-
-    A large input passes unchanged: its splits already keep all cores busy, and texts are not worth a shuffle.
-    """
+    """Give every core some rows of an input that is a single scan split; at most that split's bytes are shuffled."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * split else df
+    return df.repartition(spark.sparkContext.defaultParallelism, key) if size < split else df
 
 
 def read_questions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Question CSV with a header, quoted multi-line bodies and doubled quotes.
 
     A file with line breaks inside fields is read by one task, so large inputs should come as many files and be
-    turned into Parquet once (``sinks.write_clean_corpus``). Rows of fewer files than cores are spread after reading.
+    turned into Parquet once (``sinks.write_clean_corpus``).
     """
     raw = spark.read.csv(path, schema=QUESTION_SCHEMA, header=True, multiLine=True, quote='"', escape='"')
-    cores = spark.sparkContext.defaultParallelism
-    rows = raw.repartition(cores, "id") if len(raw.inputFiles()) < cores else raw
-    return rows.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "body", "tags")])
+    return raw.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "body", "tags")])
 
 
 def latest_by_id(df: DataFrame, order: str, key: str = "id") -> DataFrame:
-    """One row per key, the one with the greatest ``order``. Copies are reduced before the shuffle."""
+    """One row per key, the one with the greatest ``order``, among equals the greatest in its other columns. Copies
+    are reduced before the shuffle."""
     others = [c for c in df.columns if c not in (key, order)]
-    best = F.max_by(F.struct(*others), order)
+    best = F.max(F.struct(order, *others))
     return df.groupBy(key).agg(best.alias("_row")).select(key, *[F.col("_row")[c].alias(c) for c in others])
 
 
-def load_stop_words(spark: SparkSession, path: str, limit: int = STOP_WORD_LIMIT) -> list[str]:
-    """One word per line, blanks stripped. The list becomes a literal set in the plan, so its size is checked."""
-    words = spark.read.text(path).select(F.trim("value").alias("word")).where("word <> ''").distinct()
-    rows = words.take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} stop words in {path}")
-    return sorted(r["word"] for r in rows)
+def load_stop_words(spark: SparkSession, path: str) -> DataFrame:
+    """``(word)``: one word per line, blanks stripped, each once."""
+    return spark.read.text(path).select(F.trim("value").alias("word")).where("word <> ''").distinct()
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:

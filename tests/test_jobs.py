@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.operators import survey
+from labelloom.operators import clean, survey
 from labelloom.operators import tags as T
 from labelloom.operators.sampling import SampleSpec
 from labelloom.plans import jobs
@@ -34,9 +34,15 @@ def test_question_csv(spark, tmp_path):
 
 def test_stop_words(spark, tmp_path):
     (tmp_path / "stop.txt").write_text("the\n of \n\nthe\n")
-    assert Q.load_stop_words(spark, str(tmp_path / "stop.txt")) == ["of", "the"]
-    with pytest.raises(ValueError):
-        Q.load_stop_words(spark, str(tmp_path / "stop.txt"), limit=1)
+    words = Q.load_stop_words(spark, str(tmp_path / "stop.txt"))
+    assert sorted(r["word"] for r in words.collect()) == ["of", "the"]
+    terms = spark.createDataFrame([(1, ["the", "sun", "the", "sun"]), (2, ["of"])], "id long, terms array<string>")
+    assert sorted(map(tuple, clean.without_stop_words(terms, words).collect())) == [(1, "sun"), (1, "sun")]
+
+
+def test_latest_row_of_an_id(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, 1, None)], "id long, n long, body string")
+    assert sorted(map(tuple, Q.latest_by_id(rows, "n").collect())) == [(1, "c"), (2, None)]
 
 
 def test_samples_of_one_tag_read_one_folder(spark, tmp_path):
@@ -50,12 +56,11 @@ def test_samples_of_one_tag_read_one_folder(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(tag" in plan
 
 
-def test_important_records_both_ways(spark):
+def test_important_records(spark):
     questions = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "b c"), (4, "")], "id long, tags string")
     selected = spark.createDataFrame([("a",), ("b",)], "tag string")
-    for limit in (10, 1):
-        found = T.important_records(questions, selected, literal_limit=limit).collect()
-        assert sorted(r["id"] for r in found) == [1, 3]
+    found = T.important_records(questions, selected).collect()
+    assert sorted(r["id"] for r in found) == [1, 3]
 
 
 @pytest.fixture(scope="module")
@@ -92,6 +97,21 @@ def test_prepare_and_suggest(work):
     assert with_keyword.count() == 60 and with_keyword.where(F.size("tags") != 2).count() == 0
 
 
+def test_demonstration(work):
+    space, rows = work
+    jobs.survey_bayes(space)
+    means = jobs.demonstrate(space, "java", rows).first()
+    assert means["documents"] == 90 and means["mean_f1"] == 1.0
+    assert space.table("demo_predictions").count() == 90 == space.table("demo_targets").count()
+    assert [r["tag"] for r in space.table("demo_neighbours").collect()] == ["java"]
+
+
+def test_other_parameters_have_other_tables(work):
+    space, _ = work
+    other = jobs.Workspace(space.spark, space.home, space.spec, ["other"])
+    assert other.path("samples") != space.path("samples") and not other.has("samples")
+
+
 def test_trained_survey_resumes(work):
     space, rows = work
     candidates = [survey.bernoulli((1.0,))]
