@@ -184,3 +184,48 @@ FROM ruled r LEFT JOIN masses m ON r.host = m.host
 
 
 SQL["op5_url_filter"] = _url_filter_sql()
+
+
+def _secret_scan_sql() -> str:
+    k = secrets
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    patterns = (("assign", k.ASSIGN), ("access", k.ACCESS), ("hex", k.HEX), ("candidate", k.CANDIDATE))
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, regexp_extract_all(x, {quoted(p)}) AS m,"
+        f" string_split_regex(x, {quoted(p)}) AS g FROM t"
+        for rank, (kind, p) in enumerate(patterns)
+    )
+    allowed = " OR ".join(f"regexp_matches(found, {quoted(p)})" for p in k.ALLOWED)
+    limit = {kind: k.largest_sum(bits) for kind, bits in k.BITS.items()}
+    window = f"string_split(substr(found, j::INT, {k.WINDOW}), '')"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
+, matched AS ({found})
+, pieces AS (SELECT doc_id, rank, kind, m, g, unnest(range(1, len(m) + 1)) AS i FROM matched WHERE len(m) > 0)
+, placed AS (SELECT doc_id, rank, kind, m[i] AS found,
+    (list_sum(list_transform(g[1:i], lambda y: length(y)))
+      + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0))::INT AS start FROM pieces)
+, spans AS (SELECT *, start + length(found) AS stop FROM placed)
+, base AS (SELECT doc_id, rank, kind, start, stop FROM spans WHERE kind IN ('access', 'hex')
+    OR kind = 'assign' AND length(regexp_extract(found, {quoted(k.ASSIGN)}, 2)) >= {k.ASSIGN_VALUE})
+, runs AS (SELECT *, regexp_matches(found, '^[0-9a-fA-F]+$') AS is_hex FROM spans c WHERE kind = 'candidate'
+    AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]') AND NOT ({allowed})
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop))
+, measured AS (SELECT *, list_min(list_transform(range(1, length(found) - {k.WINDOW} + 2), lambda j:
+    list_sum(list_transform(list_distinct({window}), lambda ch:
+      {list(k.SUMS)}[len(list_filter({window}, lambda z: z = ch)) + 1])))) AS least FROM runs)
+, more AS (SELECT doc_id, CASE WHEN is_hex THEN 3 ELSE 4 END AS rank,
+    CASE WHEN is_hex THEN 'entropy_hex' ELSE 'entropy_key' END AS kind, start, stop FROM measured
+    WHERE least <= CASE WHEN is_hex THEN {limit['entropy_hex']} ELSE {limit['entropy_key']} END)
+, per_base AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+    count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, stop, rank) AS shown FROM base GROUP BY doc_id)
+, per_doc AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, stop, rank) AS shown
+    FROM (SELECT * FROM base UNION ALL SELECT * FROM more) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(b.shown, '')) AS base_sha256, coalesce(p.shown, '') AS spans
+FROM t LEFT JOIN per_base b ON b.doc_id = t.doc_id LEFT JOIN per_doc p ON p.doc_id = t.doc_id
+"""
+
+
+SQL["op1_secret_scan"] = _secret_scan_sql()
