@@ -70,8 +70,22 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+_made: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def delete_stages(spark: SparkSession) -> int:
+    """Delete every intermediate table of this process; call it once all results that read them are written."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    count = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from labelloom.operators import clean, survey
 from labelloom.operators import tags as T
 from labelloom.operators.sampling import SampleSpec
 from labelloom.plans import jobs
+from labelloom import session
 from labelloom.session import shared_dir
 from labelloom.sources import questions as Q
 from labelloom.sources import sinks
@@ -125,6 +126,12 @@ def test_trained_survey_resumes(work):
     assert scores.count() == 30 and scores.agg(F.avg("f1")).first()[0] > 0.6
 
 
+def test_stages_are_deleted(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    assert session.stage(spark.range(3), "three").count() == 3
+    assert session.delete_stages(spark) == 1 and session.delete_stages(spark) == 0
+
+
 class _Session:
     """Only what ``shared_dir`` asks of a session."""
 
