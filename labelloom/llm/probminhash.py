@@ -1,21 +1,24 @@
 """Near-duplicates by ProbMinHash, banding and verification.
 
-A text is the multiset of its five-word shingles; likeness is the probability Jaccard index of the shingle counts,
-which is the plain Jaccard index where no shingle repeats. ProbMinHash lets every shingle arrive in a Poisson process
-with its count as rate, each arrival at a random component of the signature; the first to reach a component is its
-entry. Arrivals later than a bound that all components have been reached by cannot matter, so they are never drawn; a
-text whose components are not all reached by then gets a later bound.
+A text is the multiset of its five-word shingles. Two texts are linked when the weighted Jaccard index of their shingle
+counts (sum of minima by sum of maxima; the plain index where no shingle repeats) is 0.8 or more.
+
+ProbMinHash lets every shingle arrive in a Poisson process with its count as rate, each arrival at a random component
+of the signature; the first to reach a component is its entry. Arrivals later than a bound that all components have
+been reached by cannot matter, so they are never drawn; a text whose components are not all reached by then gets a
+later bound. Entries agree with the probability Jaccard index of the counts, which is never below the weighted one.
 
 Texts of equal words are classes from the start, and only one of each goes on. Then:
 
 1. Banding (40 bands of 5: a pair at 0.8 is missed with probability 1e-7). In every bucket the member that meets most
-   others is compared with the rest, so a bucket costs as many pairs as it has members. Links make components.
+   others, the hub, is compared with the rest, so a bucket costs as many pairs as it has members. Links make components.
 2. What is left are pairs of one bucket in different components. In buckets of at most ``SMALL`` members all of them
-   are compared. Members of larger ones get a longer signature (320 bands of 16: 1e-4 at 0.8, 1e-11 at 0.85), which
-   keeps moderately like texts apart, and again meet those of other components in their buckets.
+   are compared. In larger ones members are told apart by what they differ in from their hub, which leaves out all they
+   have in common: see ``differing_pairs``. Both find every link; the first is merely cheaper for few members.
 3. Components of all links are the classes. Pairs inside a component are never listed.
 
-Every compared pair is verified on its whole shingle multisets.
+Pairs are dropped early by parity bitmaps: every element flips one of 512 bits, so two bitmaps differ in at most as
+many bits as the sets do in elements. Every other pair is verified on its whole shingle multisets.
 
 Defined cases: a null text is empty; texts without any word are classes by equality of the text; a text of fewer than
 five words is one shingle; repeated rows of one id are one document; rows without an id are left out; an empty table
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm import shingles
@@ -35,9 +38,10 @@ from labelloom.session import ship_package, stage
 
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 5
-FINE_BANDS, FINE_ROWS = 320, 16
-SMALL = 64
+SMALL = 4
 ELEMENT_BYTES = 5
+MARKS = 8
+_MARK = "struct<size:int," + ",".join(f"b{i}:bigint" for i in range(MARKS)) + ">"
 
 
 def multisets(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,22 +98,36 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def prob_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """Sum over common elements d of 1 / sum over all e of max(wa[e] / wa[d], wb[e] / wb[d])."""
-    common, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not len(common):
-        return 0.0
-    if wa.max() == 1 and wb.max() == 1:
-        return len(common) / (len(a) + len(b) - len(common))
-    # e takes the first branch where wa[e] / wb[e] >= wa[d] / wb[d]; elements of one side only sort to the ends.
-    ca, cb = wa[ia].astype(np.float64), wb[ib].astype(np.float64)
-    order = np.argsort(ca / cb, kind="stable")
-    ca, cb = ca[order], cb[order]
-    ratio = ca / cb
-    from_first = np.searchsorted(ratio, ratio, side="left")
-    above = np.concatenate([np.cumsum(ca[::-1])[::-1], [0.0]])[from_first] + wa.sum() - ca.sum()
-    below = np.concatenate([[0.0], np.cumsum(cb)])[from_first] + wb.sum() - cb.sum()
-    return float((1 / (above / ca + below / cb)).sum())
+def occurrences(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Multisets as sets: the second and later occurrences of an element are elements of their own."""
+    elements, counts, ends = multisets(hashes, bounds)
+    again = np.repeat(elements, counts)
+    first = np.cumsum(counts) - counts
+    nth = np.arange(len(again)) - np.repeat(first, counts)
+    more = nth > 0
+    again[more] = shingles.mix(again[more] + (nth[more].astype(np.uint64) << np.uint64(40))) >> np.uint64(24)
+    return again, np.concatenate([[0], np.cumsum(counts)])[ends]
+
+
+def parity_bits(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of ``MARKS`` 64-bit words per text: bit positions that an odd number of its elements has."""
+    n, bits = len(bounds) - 1, 64 * MARKS
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    place = (shingles.mix(elements) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(owner * bits + place, minlength=n * bits) & 1).astype(np.uint8).reshape(n, bits)
+    return np.packbits(odd, axis=1, bitorder="little").view("<i8")
+
+
+def can_meet(left: str, right: str, threshold: float) -> Column:
+    """Whether two mark columns allow the threshold: differing bits against the elements that may differ."""
+    c = (1 - threshold) / (1 + threshold)
+    differ = sum(F.bit_count(F.col(f"{left}.b{i}").bitwiseXOR(F.col(f"{right}.b{i}"))) for i in range(MARKS))
+    return differ <= c * (F.col(f"{left}.size") + F.col(f"{right}.size")) + 1e-9
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / max(len(a) + len(b) - common, 1)
 
 
 def pack_elements(elements: np.ndarray) -> bytes:
@@ -123,10 +141,6 @@ def unpack_elements(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def unpack_weights(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, "<u4") if data else np.ones(n, dtype=np.uint32)
-
-
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, copy_key, bands)``: texts of equal words share ``copy_key``; texts without words have no bands."""
 
@@ -162,7 +176,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, elements, weights)``, packed; no weights where all are one."""
+    """``(doc_id, elements, mark)``: all shingle occurrences, packed, with their number and parity bits."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
@@ -170,84 +184,139 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for at, texts in s.slices(batch.column("text"), 2_000_000):
-                elements, counts, ends = p.multisets(*s.shingle_hashes(*s.word_hashes(texts)))
-                cut = list(zip(ends.tolist(), ends.tolist()[1:]))
-                weights = [counts[a:b].astype("<u4").tobytes() if (counts[a:b] > 1).any() else b"" for a, b in cut]
+                elements, ends = p.occurrences(*s.shingle_hashes(*s.word_hashes(texts)))
+                bits = p.parity_bits(elements, ends)
+                mark = {"size": pa.array(np.diff(ends), pa.int32())} | {
+                    f"b{i}": pa.array(bits[:, i], pa.int64()) for i in range(p.MARKS)
+                }
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column("doc_id").slice(at, len(texts)),
-                        "elements": pa.array([p.pack_elements(elements[a:b]) for a, b in cut], pa.binary()),
-                        "weights": pa.array(weights, pa.binary()),
+                        "elements": pa.array([p.pack_elements(elements[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                        "mark": pa.StructArray.from_arrays(list(mark.values()), list(mark)),
                     }
                 )
 
-    return docs.mapInArrow(run, "doc_id long, elements binary, weights binary")
+    return docs.mapInArrow(run, f"doc_id long, elements binary, mark {_MARK}")
 
 
-def fine_bands(sets: DataFrame, bands: int = FINE_BANDS, rows: int = FINE_ROWS) -> DataFrame:
-    """``(doc_id, key)`` from stored shingle sets, a row per band."""
+def _with_sets(pairs: DataFrame, sets: DataFrame, left: str, right: str) -> DataFrame:
+    side = lambda name, to: sets.select(F.col("doc_id").alias(name), F.col("elements").alias(to))
+    return pairs.join(side(left, "ea"), left).join(side(right, "eb"), right)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(a, b)`` of the pairs whose likeness reaches the threshold."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 32):
-                part = batch.slice(at, 32)
-                elements = [p.unpack_elements(x) for x in part.column("elements").to_pylist()]
-                weights = [p.unpack_weights(x, len(e)) for x, e in zip(part.column("weights").to_pylist(), elements)]
-                ends = np.concatenate([[0], np.cumsum([len(e) for e in elements])]).astype(np.int64)
-                signature = p.prob_minhash(np.concatenate(elements), np.concatenate(weights), ends, bands * rows)
-                keys = p.band_keys(signature, bands, rows)
-                ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), bands)
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids), "key": pa.array(keys.reshape(-1))})
+            both = zip(batch.column("ea").to_pylist(), batch.column("eb").to_pylist())
+            keep = [p.jaccard(p.unpack_elements(a), p.unpack_elements(b)) >= threshold - 1e-12 for a, b in both]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return sets.mapInArrow(run, "doc_id long, key long")
+    return _with_sets(pairs, sets, "a", "b").select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b)`` of the pairs whose likeness reaches the threshold."""
+def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Every ``(hub, doc_id, big)`` with ``linked``, the sizes of both sides, and, for ``big`` pairs, the elements that
+    only one side has (``delta``)."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("ea", "wa", "eb", "wb")]
-            keep = []
-            for ea, wa, eb, wb in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("big", "ea", "eb")]
+            linked, sizes, deltas = [], [], []
+            for big, ea, eb in zip(*columns):
                 a, b = p.unpack_elements(ea), p.unpack_elements(eb)
-                likeness = p.prob_jaccard(a, p.unpack_weights(wa, len(a)), b, p.unpack_weights(wb, len(b)))
-                keep.append(likeness >= threshold - 1e-12)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                linked.append(p.jaccard(a, b) >= threshold - 1e-12)
+                sizes.append((len(a), len(b)))
+                deltas.append(np.setxor1d(a, b, assume_unique=True).astype(np.int64) if big else [])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "hub": batch.column("hub"),
+                    "doc_id": batch.column("doc_id"),
+                    "big": batch.column("big"),
+                    "linked": pa.array(linked, pa.bool_()),
+                    "hub_size": pa.array([x for x, _ in sizes], pa.int32()),
+                    "size": pa.array([x for _, x in sizes], pa.int32()),
+                    "delta": pa.array(deltas, pa.list_(pa.int64())),
+                }
+            )
+
+    joined = _with_sets(stars, sets, "hub", "doc_id")
+    return joined.select("hub", "doc_id", "big", "ea", "eb").mapInArrow(
+        run, "hub long, doc_id long, big boolean, linked boolean, hub_size int, size int, delta array<long>"
+    )
 
-    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("elements").alias(f"e{x}"), F.col("weights").alias(f"w{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ea", "wa", "eb", "wb").mapInArrow(
-        run, "a long, b long"
+
+def differing_pairs(
+    judged: DataFrame, components: DataFrame, marks: DataFrame, threshold: float = THRESHOLD
+) -> DataFrame:
+    """``(a, b)``: all pairs of one hub and different components that can reach the threshold, from their deltas.
+
+    With sizes s and differences D to the hub, two sets differ in D1 + D2 - 2 * o places, o the deltas' common
+    elements, and they are alike if that is at most c * (s1 + s2), c = (1 - t) / (1 + t). One of the two is not alike
+    the hub, so its D exceeds c * (s + hub size), and o must exceed (D2 - c * (s2 - hub size)) / 2 for the other. If
+    the other's delta is put in order, rarest element first, some common element is among the first D2 - that. So it
+    is enough to join those first elements of every set with all elements of the sets that are not alike the hub, and
+    of them only elements that different components have. Independent changes of a text have rare elements of their
+    own in front, and meet nobody.
+    """
+    c = (1 - threshold) / (1 + threshold)
+    inside = (
+        judged.where("big")
+        .join(components.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+    )
+    rows = inside.select(
+        "hub", "doc_id", "component", "size", "hub_size", F.size("delta").alias("d"), F.explode("delta").alias("element")
     )
+    stats = rows.groupBy("hub", "element").agg(
+        F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("shared")
+    )
+    known = rows.join(stats, ["hub", "element"])
+    enough = F.col("d") - F.greatest(F.floor((F.col("d") - c * (F.col("size") - F.col("hub_size"))) / 2 - 1e-9), F.lit(0))
+    line = F.sort_array(F.collect_list(F.struct("n", "element", "shared")))
+    first = (
+        known.groupBy("hub", "doc_id", "component", "size", "hub_size", "d")
+        .agg(line.alias("line"))
+        .withColumn("e", F.explode(F.slice("line", F.lit(1), enough.cast("int"))))
+        .where("e.shared")
+        .select("hub", F.col("doc_id").alias("x"), F.col("component").alias("cx"), F.col("e.element").alias("element"))
+    )
+    apart = known.where(F.col("shared") & (F.col("d") > c * (F.col("size") + F.col("hub_size")) - 1e-9))
+    apart = apart.join(marks, "doc_id").select(F.col("hub").alias("h"), F.col("element").alias("e"), "doc_id", "component", "mark")
+    first = first.join(marks.select(F.col("doc_id").alias("x"), F.col("mark").alias("mx")), "x")
+    same = (F.col("hub") == F.col("h")) & (F.col("element") == F.col("e"))
+    met = first.join(apart, same & (F.col("cx") != F.col("component")) & can_meet("mx", "mark", threshold))
+    return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
 
 
-def cross_pairs(rows: DataFrame) -> DataFrame:
-    """``(a, b)``, distinct: members of one bucket in different components, from ``(key, doc_id, component)``.
+def cross_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(a, b)``, distinct: members of one bucket in different components whose marks allow a link, from
+    ``(key, doc_id, component, mark)``.
 
     Of such two at least one is outside the bucket's largest component, so only those are joined with all members: a
-    bucket that is one component costs nothing, a stray costs as many pairs as the bucket has members.
+    bucket that is one component costs nothing.
     """
     sizes = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
     largest = (
         sizes.groupBy("key")
         .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
         .where("parts > 1")
-        .select("key", "main")
+        .select(F.col("key").alias("k"), "main")
+    )
+    strays = rows.join(largest, (F.col("key") == F.col("k")) & (F.col("component") != F.col("main"))).select(
+        "k", F.col("doc_id").alias("x"), F.col("component").alias("cx"), F.col("mark").alias("mx")
     )
-    strays = rows.join(largest, "key").where("component <> main").select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    met = strays.join(rows, "key").where("cx <> component")
+    apart = (F.col("k") == F.col("key")) & (F.col("cx") != F.col("component"))
+    met = strays.join(rows, apart & can_meet("mx", "mark", threshold))
     return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
 
 
-def _with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
-    known = rows.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return known.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int = SMALL) -> DataFrame:
     """``(doc_id, class_id)`` per document; a class is named by its least id."""
     ship_package(docs.sparkSession)
@@ -268,23 +337,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     members = crowded.join(sized, "key")
     degree = members.groupBy("doc_id").agg(F.sum("n").alias("degree"))
     hubs = members.join(degree, "doc_id").groupBy("key").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("hub"))
-    stars = (
-        crowded.join(hubs, "key")
-        .where("doc_id <> hub")
-        .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
-        .distinct()
-    )
-    stars = stage(stars, "star-pairs")
-    links = stage(verified(stars, sets, threshold), "star-links")
-    components = connected_components(links)
-
-    mixed = stage(_with_component(members.select("key", "doc_id"), components), "bucket-components")
-    rare = cross_pairs(mixed.join(sized.where(F.col("n") <= small).select("key"), "key"))
-    crowds = mixed.join(sized.where(F.col("n") > small).select("key"), "key")
-    torn = crowds.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    torn_ids = crowds.join(torn.select("key"), "key").select("doc_id").distinct()
-    fine = _with_component(fine_bands(sets.join(torn_ids, "doc_id", "left_semi")), components)
-    rest = rare.union(cross_pairs(stage(fine, "fine-bands"))).distinct().join(stars, ["a", "b"], "left_anti")
+    stars = members.join(hubs, "key").where("doc_id <> hub").groupBy("hub", "doc_id").agg(F.max(F.col("n") > small).alias("big"))
+    judged = stage(compared(stars, sets, threshold), "compared-stars")
+    components = connected_components(judged.where("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
+
+    marks = sets.select("doc_id", "mark")
+    named = components.withColumnRenamed("node", "doc_id")
+    few = members.where(F.col("n") <= small).join(named, "doc_id", "left").join(marks, "doc_id")
+    few = few.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), "mark")
+    rare = cross_pairs(stage(few, "small-buckets"), threshold)
+    apart = differing_pairs(judged, components, marks, threshold)
+    told = judged.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
+    rest = rare.union(apart).distinct().join(told, ["a", "b"], "left_anti")
     more = stage(verified(stage(rest, "cross-pairs"), sets, threshold), "cross-links")
     roots = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
