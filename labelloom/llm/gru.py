@@ -430,7 +430,7 @@ def score(docs: DataFrame) -> DataFrame:
                 found = np.array([v.counts.get(w, -1) for w in distinct], dtype=np.int64)
                 gain = np.log10(np.maximum(found, 0) + 1.0)
                 n, owner = len(texts), np.repeat(np.arange(len(texts)), np.diff(bounds))
-                per_doc = lambda x: np.bincount(owner, x, minlength=n)
+                per_doc = lambda x: np.bincount(owner, x, minlength=n).astype(np.float64)
                 looked_up, other = found[places] < 0, entries[places] == len(v.entry)
                 rare = np.flatnonzero(looked_up)
                 cuts = np.searchsorted(owner[rare], np.arange(n + 1))

@@ -7,7 +7,7 @@ Jaccard likeness. ``BITS`` low-order bits a bin are packed; the share of equal b
 by chance.
 
 Defined cases: a null text is empty; a text without words has an all-zero fingerprint, is fully like another such text
-and unlike any with words; repeated ids follow each other in order of text; the only document is its own neighbour; an
+and unlike any with words; repeated ids follow each other in order of text; a null id is the lowest; the only document is its own neighbour; an
 empty table gives no rows; other columns are ignored.
 """
 

@@ -14,7 +14,7 @@ A document is contaminated by an item when tiles cover at least ``threshold`` of
 ``seed`` words are one seed that must occur whole.
 
 Defined cases: null and empty texts have no words and are never contaminated, and such items contaminate nothing;
-equal items each get their pairs; documents that share an id are judged as one; an empty table on either side gives no
+equal items each get their pairs; documents that share an id are judged as one, rows without an id are left out; an empty table on either side gives no
 pairs; other columns are ignored.
 """
 
