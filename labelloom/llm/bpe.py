@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from labelloom.session import ship_package
 
 WORD_END = "</w>"
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
-SLICE_BYTES = 8_000_000
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 48
+SLICE_BYTES = 3_000_000
 # Text whose normal form is its lower case and whose words Python's patterns find: ASCII and Latin-1 letters. Anything
 # else is left to the library's normaliser and pre-tokenizer.
 LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"

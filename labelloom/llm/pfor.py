@@ -13,7 +13,8 @@ stretch. Every try of a task writes under names of its own; only those in the ta
 lost executor leaves unread files at worst.
 
 Defined cases: a null or empty text has no ids but the end id; repeated ids follow each other in order of text; a null
-document id is not storable and raises; an empty table gives no files and no rows; other columns are ignored.
+document id comes first and is stored as the least 64-bit number; an empty table gives no files and no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,9 @@ MAGIC, VERSION = b"TIDS", 1
 HEAD = struct.Struct("<4sIQQQ")
 BLOCK_HEAD = struct.Struct("<IBH")
 BLOCK, PERCENTILE = 512, 90
-FILE_IDS = 4_000_000
+BLOCKS_AT_ONCE = 512
+FILE_IDS = 2_000_000
+NO_ID = -(2**63)
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -64,17 +68,21 @@ def unpack(words: np.ndarray, width: int, size: int) -> np.ndarray:
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> tuple[np.ndarray, bytes]:
-    """Block starts (one more than blocks) and the blocks' bytes."""
+    """Block starts (one more than blocks) and the blocks' bytes; some hundred blocks at a time to save memory."""
+    step = BLOCKS_AT_ONCE * block
+    pieces = [p for a in range(0, len(ids), step) for p in _encode_some(ids[a : a + step], block, percentile)]
+    return np.cumsum([0, *map(len, pieces)]).astype("<u8"), b"".join(pieces)
+
+
+def _encode_some(ids: np.ndarray, block: int, percentile: int) -> list[bytes]:
     count = -(-len(ids) // block)
-    if not count:
-        return np.zeros(1, dtype="<u8"), b""
     padded = np.full(count * block, ids[-1], dtype=np.uint32)
     padded[: len(ids)] = ids
     rows = padded.reshape(count, block)
     least = rows.min(axis=1)
     offsets = rows - least[:, None]
     widths = np.frexp(offsets.astype(np.float64))[1].astype(np.uint8)
-    place = -(-block * percentile // 100) - 1
+    place = -(-block * percentile // 100) - 1  # widths of this many are covered
     chosen = np.partition(widths, place, axis=1)[:, place]
     beyond = widths > chosen[:, None]
     packed: list = [b""] * count
@@ -86,15 +94,22 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENT
     owner, at = np.nonzero(beyond)
     bounds = np.searchsorted(owner, np.arange(count + 1))
     at, values = at.astype("<u2"), offsets[beyond].astype("<u4")
-    pieces = [
+    return [
         BLOCK_HEAD.pack(int(m), int(w), int(b - a)) + body + at[a:b].tobytes() + values[a:b].tobytes()
         for m, w, body, a, b in zip(least, chosen, packed, bounds, bounds[1:])
     ]
-    return np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype("<u8"), b"".join(pieces)
 
 
 def decode_blocks(data: bytes | memoryview, starts: np.ndarray, count: int, block: int = BLOCK) -> np.ndarray:
     """The first ``count`` ids of the blocks that begin at ``starts``; any run of the index will do."""
+    out = np.empty(count, dtype=np.uint32)
+    for a in range(0, len(starts) - 1, BLOCKS_AT_ONCE):
+        room = out[a * block : (a + BLOCKS_AT_ONCE) * block]
+        room[:] = _decode_some(data, starts[a : a + BLOCKS_AT_ONCE + 1], block)[: len(room)]
+    return out
+
+
+def _decode_some(data: bytes | memoryview, starts: np.ndarray, block: int) -> np.ndarray:
     n = len(starts) - 1
     heads = [BLOCK_HEAD.unpack_from(data, s) for s in starts[:-1].tolist()]
     out = np.empty((n, block), dtype=np.uint32)
@@ -110,7 +125,7 @@ def decode_blocks(data: bytes | memoryview, starts: np.ndarray, count: int, bloc
             places = np.frombuffer(data, "<u2", exceptions, at)
             out[i, places] = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
         out[i] += np.uint32(least)
-    return out.reshape(-1)[:count]
+    return out.reshape(-1)
 
 
 def encode_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -145,7 +160,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, file_
         from pyspark import TaskContext
 
         from labelloom.llm.bpe import encoded_slices, load
-        from labelloom.llm.pfor import encode_file
+        from labelloom.llm.pfor import NO_ID, encode_file
 
         bpe, part, seq, held = load(tokenizer, True), TaskContext.get().partitionId(), 0, []
         store, root = FileSystem.from_uri(folder)
@@ -163,7 +178,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, file_
         for batch in batches:
             for doc_ids, ids, bounds in encoded_slices(batch, bpe):
                 closed = np.insert(ids, bounds[1:], end_id)
-                held.append((doc_ids.to_numpy(zero_copy_only=True), np.diff(bounds) + 1, closed))
+                held.append((pc.fill_null(doc_ids, NO_ID).to_numpy(), np.diff(bounds) + 1, closed))
                 if sum(len(h[2]) for h in held) >= file_ids:
                     yield flush()
                     seq, held = seq + 1, []
@@ -171,7 +186,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, file_
             yield flush()
 
     ordered = (
-        docs.select(F.expr("coalesce(cast(doc_id AS long), raise_error('a document without id'))").alias("doc_id"), "text")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
@@ -183,7 +198,7 @@ def read_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     ship_package(spark)
 
     def run(batches):
-        from labelloom.llm.pfor import decode_file
+        from labelloom.llm.pfor import NO_ID, decode_file
 
         for batch in batches:
             for name, content in zip(batch.column("name").to_pylist(), batch.column("content")):
@@ -194,7 +209,7 @@ def read_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "name": pa.array([name] * len(doc_ids)),
-                        "doc_id": pa.array(doc_ids),
+                        "doc_id": pa.array(doc_ids, mask=doc_ids == NO_ID),
                         "local_start": pa.array(ends - lengths),
                         "n_tokens": pa.array(lengths),
                         "ids_crc32": pa.array(sums, pa.int64()),
