@@ -22,6 +22,8 @@ HEADLINE = (
     "multinomial_fold_scores",
     "suggest_tags",
     "document_f1",
+    "pca_features",
+    "survey_bernoulli_nb",
 )
 
 
