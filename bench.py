@@ -23,7 +23,6 @@ HEADLINE = (
     "suggest_tags",
     "document_f1",
     "pca_features",
-    "survey_bernoulli_nb",
 )
 
 
