@@ -7,9 +7,9 @@ its count (add-one, with room for one unknown word), so every text has a probabi
 
 The output is factored: classes of about equal summed square-root frequency, then a softmax over the class's words.
 Training is truncated backpropagation in numpy: windows of ``WINDOW`` steps over lanes that run through whole
-documents, state carried from window to window and cleared at document starts. Every task trains on the training
-documents of its input split that belong to the round (a fixed share of all of them by hash, so it grows with the
-input) and the parameters are averaged in a tree. Scoring runs the same way over all documents and all their tokens.
+documents, state carried from window to window and cleared at document starts. The rounds part the training documents
+by hash, so together they read every one of them once; in a round every task trains on those of its input split, and
+the parameters are averaged in a tree. Scoring runs the same way over all documents and all their tokens.
 
 Words outside the ``LOOKUP`` most frequent ones, which tasks hold in memory, get their counts from a join on the word;
 such words are rare by definition, so the join has no hot keys.
@@ -38,7 +38,7 @@ END = "\n"  # no word holds white space
 FOLDS, HELD_OUT = 7, 2
 HEAD, LOOKUP = 2047, 200_000
 UNITS, CLASSES, WINDOW, LANES = 24, 64, 32, 64
-ROUNDS, SHARES, RATE = 3, 16, 0.008
+ROUNDS, RATE = 3, 0.008
 SCORE_LANES, SLICE_BYTES, FANOUT = 256, 8_000_000, 32
 
 
@@ -343,8 +343,13 @@ def document_scores(p: dict, v: Vocabulary, entries: np.ndarray, bounds: np.ndar
 # -- Spark --------------------------------------------------------------------------------------------------------
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, shares: int = SHARES) -> dict[str, np.ndarray]:
-    """Parameters after ``rounds`` of training, each on its share of the training documents, and averaging."""
+def round_of(rounds: int = ROUNDS):
+    """The round that a document is learned in; rows without an id are dealt by their text."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text"))), F.lit(rounds))
+
+
+def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Parameters after ``rounds`` of training, each on its part of the training documents, and averaging."""
     spark = docs.sparkSession
     ship_package(spark)
     p = new_parameters(v)
@@ -375,7 +380,7 @@ def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, shares: int = SH
 
             return averaged(table)
 
-        part = docs.where(~held_out_column() & (F.pmod(F.xxhash64("doc_id"), F.lit(shares)) == turn)).select("text")
+        part = docs.where(~held_out_column() & (round_of(rounds) == turn)).select("text")
         schema = "slot long, seen long, flat binary"
         trained = stage(part.mapInArrow(run, schema), "trained")
         n = trained.count()

@@ -99,6 +99,22 @@ def test_training_beats_the_unigram_start():
     assert gru.document_scores(p, v, *piece).sum() > 0.6 * before
 
 
+def test_every_training_document_is_learned_from(spark, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(200)] + [(None, "text null"), (None, None), (3, "text 3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    v = gru.vocabulary(gru.word_counts(docs))
+    made, whole = [], gru.stage
+
+    def kept(df, name):
+        made.append(whole(df, name))
+        return made[-1]
+
+    monkeypatch.setattr(gru, "stage", kept)
+    gru.train(docs, v)
+    trained = [r for r in rows if not gru.is_held_out(r[0])]
+    assert sum(r.seen for df in made for r in df.collect()) == sum(len(tokens(t)) for _, t in trained) == v.total
+
+
 def test_held_out_quality(spark):
     rng = random.Random(7)
     rows, labels = [], []
