@@ -1,12 +1,13 @@
 """Near-duplicates by ProbMinHash, banding and verification.
 
-A text is the multiset of its five-word shingles. Two texts are linked when the weighted Jaccard index of their shingle
-counts (sum of minima by sum of maxima; the plain index where no shingle repeats) is 0.8 or more.
+A text is the multiset of its five-word shingles. Two texts are linked when the probability Jaccard index of their
+shingle counts (see ``prob_jaccard``; the plain index where no shingle repeats) is 0.8 or more.
 
 ProbMinHash lets every shingle arrive in a Poisson process with its count as rate, each arrival at a random component
 of the signature; the first to reach a component is its entry. Arrivals later than a bound that all components have
 been reached by cannot matter, so they are never drawn; a text whose components are not all reached by then gets a
-later bound. Entries agree with the probability Jaccard index of the counts, which is never below the weighted one.
+later bound. Entries agree with the probability Jaccard index of the counts, which is never below the weighted one (sum
+of minima by sum of maxima).
 
 Texts of equal words are classes from the start, and only one of each goes on. Then:
 
@@ -14,11 +15,16 @@ Texts of equal words are classes from the start, and only one of each goes on. T
    others, the hub, is compared with the rest, so a bucket costs as many pairs as it has members. Links make components.
 2. What is left are pairs of one bucket in different components. In buckets of at most ``SMALL`` members all of them
    are compared. In larger ones members are told apart by what they differ in from their hub, which leaves out all they
-   have in common: see ``differing_pairs``. Both find every link; the first is merely cheaper for few members.
-3. Components of all links are the classes. Pairs inside a component are never listed.
+   have in common: see ``differing_pairs``. Both find every pair whose weighted index reaches the threshold, so every link of
+   texts without repeated shingles; the first is merely cheaper for few members.
+3. Where a shingle repeats, the weighted index may be below the threshold and the probability index not. So in every
+   bucket pairs with such a text are compared too, unless their shares of shingles are too far apart.
+4. Components of all links are the classes. Pairs inside a component are never listed.
 
 Pairs are dropped early by parity bitmaps: every element flips one of 512 bits, so two bitmaps differ in at most as
-many bits as the sets do in elements. Every other pair is verified on its whole shingle multisets.
+many bits as the sets do in elements. Pairs of step 3 have other bounds: entries agree no more often than the total
+variation of the shares allows, so shares that differ by more than 2 * (1 - t) in all are no link, and sums of shares
+over bins differ by no more than the shares. Every other pair is verified on its whole shingle multisets.
 
 Defined cases: a null text is empty; texts without any word are classes by equality of the text; a text of fewer than
 five words is one shingle; repeated rows of one id are one document; rows without an id are left out; an empty table
@@ -41,6 +47,7 @@ BANDS, ROWS = 40, 5
 SMALL = 4
 ELEMENT_BYTES = 5
 MARKS = 8
+BINS = 64
 _MARK = "struct<size:int," + ",".join(f"b{i}:bigint" for i in range(MARKS)) + ">"
 
 
@@ -130,6 +137,52 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return common / max(len(a) + len(b) - common, 1)
 
 
+def prob_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
+    """Sum over common elements d of 1 / sum over all e of max(wa[e] / wa[d], wb[e] / wb[d])."""
+    common, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if not len(common):
+        return 0.0
+    # e takes the first branch where wa[e] / wb[e] >= wa[d] / wb[d]; elements of one side only sort to the ends.
+    ca, cb = wa[ia].astype(np.float64), wb[ib].astype(np.float64)
+    order = np.argsort(ca / cb, kind="stable")
+    ca, cb = ca[order], cb[order]
+    ratio = ca / cb
+    from_first = np.searchsorted(ratio, ratio, side="left")
+    above = np.concatenate([np.cumsum(ca[::-1])[::-1], [0.0]])[from_first] + wa.sum() - ca.sum()
+    below = np.concatenate([[0.0], np.cumsum(cb)])[from_first] + wb.sum() - cb.sum()
+    return float((1 / (above / ca + below / cb)).sum())
+
+
+def counted(occurring: np.ndarray, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct elements and their counts from all occurrences; no weights where all counts are one."""
+    if not weights:
+        return occurring, np.ones(len(occurring), dtype=np.int64)
+    counts = np.frombuffer(weights, "<u4").astype(np.int64)
+    return occurring[np.cumsum(counts) - counts], counts
+
+
+def likeness(a: np.ndarray, wa: bytes, b: np.ndarray, wb: bytes) -> float:
+    """The probability Jaccard index from all occurrences and the weights."""
+    return prob_jaccard(*counted(a, wa), *counted(b, wb)) if wa or wb else jaccard(a, b)
+
+
+def binned_shares(elements: np.ndarray, counts: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of ``BINS`` sums of signed shares of the counts per text."""
+    n = len(bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    mixed = shingles.mix(elements)
+    share = counts / np.maximum(np.bincount(owner, counts, minlength=n), 1)[owner]
+    signed_share = np.where(mixed >> np.uint64(63), share, -share)
+    place = owner * BINS + (mixed % np.uint64(BINS)).astype(np.int64)
+    return np.bincount(place, signed_share, minlength=n * BINS).astype(np.float32)
+
+
+def shares_can_meet(left: str, right: str, threshold: float) -> Column:
+    """Whether two columns of binned shares allow the threshold."""
+    apart = F.zip_with(left, right, lambda x, y: F.abs(x - y))
+    return F.aggregate(apart, F.lit(0.0), lambda t, x: t + x) <= 2 * (1 - threshold) + 1e-4
+
+
 def pack_elements(elements: np.ndarray) -> bytes:
     return elements.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ELEMENT_BYTES].tobytes()
 
@@ -176,7 +229,8 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, elements, mark)``: all shingle occurrences, packed, with their number and parity bits."""
+    """``(doc_id, elements, weights, mark, shares)``: all shingle occurrences, packed, counts where one is above 1, the
+    number and parity bits of the occurrences, and the binned shares."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
@@ -184,7 +238,11 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for at, texts in s.slices(batch.column("text"), 2_000_000):
-                elements, ends = p.occurrences(*s.shingle_hashes(*s.word_hashes(texts)))
+                hashes, places = s.shingle_hashes(*s.word_hashes(texts))
+                elements, ends = p.occurrences(hashes, places)
+                distinct, counts, cuts = p.multisets(hashes, places)
+                shares = p.binned_shares(distinct, counts, cuts)
+                of = [counts[a:b] for a, b in zip(cuts.tolist(), cuts.tolist()[1:])]
                 bits = p.parity_bits(elements, ends)
                 mark = {"size": pa.array(np.diff(ends), pa.int32())} | {
                     f"b{i}": pa.array(bits[:, i], pa.int64()) for i in range(p.MARKS)
@@ -193,16 +251,22 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                     {
                         "doc_id": batch.column("doc_id").slice(at, len(texts)),
                         "elements": pa.array([p.pack_elements(elements[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                        "weights": pa.array([c.astype("<u4").tobytes() if (c > 1).any() else b"" for c in of], pa.binary()),
                         "mark": pa.StructArray.from_arrays(list(mark.values()), list(mark)),
+                        "shares": pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(texts) + 1) * p.BINS, pa.int32()), pa.array(shares, pa.float32())
+                        ),
                     }
                 )
 
-    return docs.mapInArrow(run, f"doc_id long, elements binary, mark {_MARK}")
+    return docs.mapInArrow(run, f"doc_id long, elements binary, weights binary, mark {_MARK}, shares array<float>")
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, left: str, right: str) -> DataFrame:
-    side = lambda name, to: sets.select(F.col("doc_id").alias(name), F.col("elements").alias(to))
-    return pairs.join(side(left, "ea"), left).join(side(right, "eb"), right)
+    side = lambda name, to: sets.select(
+        F.col("doc_id").alias(name), F.col("elements").alias(f"e{to}"), F.col("weights").alias(f"w{to}")
+    )
+    return pairs.join(side(left, "a"), left).join(side(right, "b"), right)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -212,11 +276,13 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
         from labelloom.llm import probminhash as p
 
         for batch in batches:
-            both = zip(batch.column("ea").to_pylist(), batch.column("eb").to_pylist())
-            keep = [p.jaccard(p.unpack_elements(a), p.unpack_elements(b)) >= threshold - 1e-12 for a, b in both]
+            both = zip(*(batch.column(c).to_pylist() for c in ("ea", "wa", "eb", "wb")))
+            keep = [
+                p.likeness(p.unpack_elements(a), wa, p.unpack_elements(b), wb) >= threshold - 1e-12 for a, wa, b, wb in both
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(pairs, sets, "a", "b").select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long")
+    return _with_sets(pairs, sets, "a", "b").select("a", "b", "ea", "wa", "eb", "wb").mapInArrow(run, "a long, b long")
 
 
 def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -227,11 +293,11 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
         from labelloom.llm import probminhash as p
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("big", "ea", "eb")]
+            columns = [batch.column(c).to_pylist() for c in ("big", "ea", "wa", "eb", "wb")]
             linked, sizes, deltas = [], [], []
-            for big, ea, eb in zip(*columns):
+            for big, ea, wa, eb, wb in zip(*columns):
                 a, b = p.unpack_elements(ea), p.unpack_elements(eb)
-                linked.append(p.jaccard(a, b) >= threshold - 1e-12)
+                linked.append(p.likeness(a, wa, b, wb) >= threshold - 1e-12)
                 sizes.append((len(a), len(b)))
                 deltas.append(np.setxor1d(a, b, assume_unique=True).astype(np.int64) if big else [])
             yield pa.RecordBatch.from_pydict(
@@ -247,7 +313,7 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
             )
 
     joined = _with_sets(stars, sets, "hub", "doc_id")
-    return joined.select("hub", "doc_id", "big", "ea", "eb").mapInArrow(
+    return joined.select("hub", "doc_id", "big", "ea", "wa", "eb", "wb").mapInArrow(
         run, "hub long, doc_id long, big boolean, linked boolean, hub_size int, size int, delta array<long>"
     )
 
@@ -255,7 +321,8 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
 def differing_pairs(
     judged: DataFrame, components: DataFrame, marks: DataFrame, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``(a, b)``: all pairs of one hub and different components that can reach the threshold, from their deltas.
+    """``(a, b)``: all pairs of one hub and different components whose weighted index can reach the threshold, from
+    their deltas. Alike means by that index, which is never above the one that links.
 
     With sizes s and differences D to the hub, two sets differ in D1 + D2 - 2 * o places, o the deltas' common
     elements, and they are alike if that is at most c * (s1 + s2), c = (1 - t) / (1 + t). One of the two is not alike
@@ -295,9 +362,9 @@ def differing_pairs(
     return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
 
 
-def cross_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b)``, distinct: members of one bucket in different components whose marks allow a link, from
-    ``(key, doc_id, component, mark)``.
+def cross_pairs(rows: DataFrame, may_link) -> DataFrame:
+    """``(a, b)``, distinct: members of one bucket in different components for whose columns ``mx`` and ``mark``
+    ``may_link`` holds, from ``(key, doc_id, component, mark)``.
 
     Of such two at least one is outside the bucket's largest component, so only those are joined with all members: a
     bucket that is one component costs nothing.
@@ -313,7 +380,7 @@ def cross_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "k", F.col("doc_id").alias("x"), F.col("component").alias("cx"), F.col("mark").alias("mx")
     )
     apart = (F.col("k") == F.col("key")) & (F.col("cx") != F.col("component"))
-    met = strays.join(rows, apart & can_meet("mx", "mark", threshold))
+    met = strays.join(rows, apart & may_link)
     return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
 
 
@@ -345,10 +412,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     named = components.withColumnRenamed("node", "doc_id")
     few = members.where(F.col("n") <= small).join(named, "doc_id", "left").join(marks, "doc_id")
     few = few.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), "mark")
-    rare = cross_pairs(stage(few, "small-buckets"), threshold)
+    rare = cross_pairs(stage(few, "small-buckets"), can_meet("mx", "mark", threshold))
+    repeats = sets.select("doc_id", F.struct((F.length("weights") > 0).alias("repeats"), "shares").alias("mark"))
+    # Only buckets with a text that repeats a shingle and with more than one component.
+    placed = crowded.join(named, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = placed.join(repeats.select("doc_id", "mark.repeats"), "doc_id")
+    torn = placed.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.bool_or("repeats").alias("any")
+    )
+    mixed = placed.join(torn.where("any AND lo < hi").select("key"), "key").drop("repeats").join(repeats, "doc_id")
+    may_link = (F.col("mx.repeats") | F.col("mark.repeats")) & shares_can_meet("mx.shares", "mark.shares", threshold)
+    uneven = cross_pairs(stage(mixed, "buckets-with-repeats"), may_link)
     apart = differing_pairs(judged, components, marks, threshold)
     told = judged.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
-    rest = rare.union(apart).distinct().join(told, ["a", "b"], "left_anti")
+    rest = rare.union(apart).union(uneven).distinct().join(told, ["a", "b"], "left_anti")
     more = stage(verified(stage(rest, "cross-pairs"), sets, threshold), "cross-links")
     roots = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 

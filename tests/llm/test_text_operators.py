@@ -186,6 +186,41 @@ def test_classes_match_brute_force(spark, docs, doc_rows, small):
     assert found == slow_classes([r for r in rows if r[0] is not None])
 
 
+@pytest.mark.parametrize("small", [4, 1])
+def test_repeated_passages_are_linked_by_the_probability_index(spark, small):
+    rng = random.Random(11)
+    rows = []
+    for i in range(6):
+        passage = prose(rng, 100)
+        w = passage.split()
+        w[50] = f"other{i}"
+        rows += [(10 * i, passage), (10 * i + 1, " ".join([passage] * 3)), (10 * i + 2, " ".join([" ".join(w)] * 2))]
+        w[5:95:6] = [f"new{i}x{k}" for k in range(15)]
+        rows += [(10 * i + 3, " ".join([" ".join(w)] * 4))]
+    sets = {d: shingles(t) for d, t in rows}
+    assert prob_jaccard(sets[0], sets[1]) > 0.9 and weighted_jaccard(sets[0], sets[1]) < 0.4
+    expected = {d: d for d, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a // 10 == b // 10 and prob_jaccard(sets[a], sets[b]) >= 0.8]
+    for _ in range(4):  # least ids along links
+        for a, b in links:
+            expected[a] = min(expected[a], expected[b])
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in probminhash.near_duplicates(documents, small=small).collect()}
+    assert found == expected and len(set(found.values())) == 12
+
+
+def test_bounds_of_shares_lose_no_link():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        e = np.unique(rng.integers(1, 2**40, 60)).astype(np.uint64)
+        wa, wb = rng.integers(1, 30, (2, len(e)))
+        wb = np.where(rng.random(len(e)) < 0.9, wa, wb)
+        sums = [probminhash.binned_shares(e, w, np.array([0, len(e)])) for w in (wa, wb)]
+        exact = prob_jaccard(collections.Counter(dict(zip(e, wa.tolist()))), collections.Counter(dict(zip(e, wb.tolist()))))
+        assert probminhash.prob_jaccard(e, wa, e, wb) == pytest.approx(exact)
+        assert np.abs(sums[0] - sums[1]).sum() <= 2 * (1 - exact) + 1e-4
+
+
 def test_no_documents(docs):
     assert probminhash.near_duplicates(docs.limit(0)).count() == 0
 
