@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, tiling
+from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, subvectors, tiling
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -95,6 +95,11 @@ def op10_chat_windows(spark, folder):
     return chat.read_back(chat.format_windows(rows.unionByName(extra)))
 
 
+@query
+def op12_centroid_clusters(spark, folder):
+    return subvectors.cluster(table(spark, folder, "embeddings"))
+
+
 SQL["op10_chat_windows"] = f"""
 WITH given AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -229,3 +234,36 @@ FROM t LEFT JOIN per_base b ON b.doc_id = t.doc_id LEFT JOIN per_doc p ON p.doc_
 
 
 SQL["op1_secret_scan"] = _secret_scan_sql()
+
+
+def _centroid_clusters_sql() -> str:
+    c = subvectors
+    distances = lambda n: f"""SELECT v.place, k.cluster, sum((v.x - k.x) * (v.x - k.x))::BIGINT AS distance
+    FROM parts v JOIN c{n} k ON v.dim = k.dim GROUP BY ALL"""
+    rounds = ""
+    for n in range(c.ROUNDS + 1):
+        rounds += f"""
+, a{n} AS MATERIALIZED (SELECT place, unnest(arg_min({{'cluster': cluster, 'distance': distance}}, (distance, cluster)))
+    FROM ({distances(n)}) GROUP BY place)"""
+        if n < c.ROUNDS:
+            rounds += f"""
+, m{n} AS (SELECT cluster, dim, (sum(x::HUGEINT) - ((sum(x::HUGEINT) % count(*)) + count(*)) % count(*)) // count(*) AS x
+    FROM a{n} JOIN parts USING (place) GROUP BY cluster, dim)
+, c{n + 1} AS MATERIALIZED (SELECT k.cluster, k.dim, coalesce(m.x, k.x)::BIGINT AS x FROM c{n} k
+    LEFT JOIN m{n} m ON k.cluster = m.cluster AND k.dim = m.dim)"""
+    return f"""
+WITH kept AS (SELECT vec_id, list_transform(embedding, lambda x: floor({c.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = {c.DIMS}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {c.DIMS})
+, placed AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS place
+    FROM kept)
+, parts AS MATERIALIZED (SELECT place, generate_subscripts(v, 1) AS dim, unnest(v) AS x FROM placed)
+, c0 AS MATERIALIZED (SELECT place AS cluster, dim, x FROM parts WHERE place < {c.K}){rounds}
+, digests AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM c{c.ROUNDS} GROUP BY cluster)
+SELECT p.vec_id, a.cluster::INTEGER AS cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(a.distance) OVER ())::BIGINT AS inertia, d.centroid_sha256
+FROM a{c.ROUNDS} a JOIN placed p USING (place) JOIN digests d ON a.cluster = d.cluster
+"""
+
+
+SQL["op12_centroid_clusters"] = _centroid_clusters_sql()
