@@ -15,7 +15,7 @@ SCHEMA = "vec_id long, embedding array<float>, cluster string, v int"
 
 def rows_of(n, dims, rng):
     rows = [(i, [rng.choice((-0.5, -0.25, 0.0, 0.3, 0.9)) for _ in range(dims)], "clash", 1) for i in range(n)]
-    rows += [rows[3], rows[3], (None, rows[5][1], None, None), (900, rows[3][1], None, None)]
+    rows += [rows[3], rows[3], (None, rows[2][1], None, None), (900, rows[3][1], None, None)]
     odd = [
         (901, None, "x", 1),
         (902, rows[0][1][:-1], "x", 1),
