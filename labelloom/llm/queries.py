@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, subvectors, tiling
+from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, subvectors, tiling, toxicity
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -95,6 +95,19 @@ def op10_chat_windows(spark, folder):
     return chat.read_back(chat.format_windows(rows.unionByName(extra)))
 
 
+@query
+def op11_toxicity(spark, folder):
+    docs = documents(spark, folder)
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.FLAGGED).cast("int").alias("predicted"),
+        "hits",
+    )
+
+
 @query
 def op12_centroid_clusters(spark, folder):
     return subvectors.cluster(table(spark, folder, "embeddings"))
