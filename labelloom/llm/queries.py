@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, subvectors, tiling, toxicity
+from labelloom.llm import bpe, chat, cotrain, gru, linkgraph, oneperm, pfor, probminhash, secrets, subvectors, tiling, toxicity, trie
 from labelloom.llm.common import documents, table
 
 def word_bpe() -> str:
@@ -113,6 +113,11 @@ def op12_centroid_clusters(spark, folder):
     return subvectors.cluster(table(spark, folder, "embeddings"))
 
 
+@query
+def op13_prefix_trie(spark, folder):
+    return trie.conversation_trie(table(spark, folder, "conversations"))
+
+
 SQL["op10_chat_windows"] = f"""
 WITH given AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -280,3 +285,38 @@ FROM a{c.ROUNDS} a JOIN placed p USING (place) JOIN digests d ON a.cluster = d.c
 
 
 SQL["op12_centroid_clusters"] = _centroid_clusters_sql()
+
+
+SQL["op13_prefix_trie"] = r"""
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL)
+, own AS (SELECT conv_id, md5(concat(length(role), ':', role, text)) AS key,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat(length(role), ':', role, text))) AS pos
+    FROM given)
+, ids AS (SELECT DISTINCT conv_id FROM given)
+, heads AS (SELECT conv_id, conv_id - conv_id % 20 AS head_of, (4294967295 - list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END))) % 4 AS h FROM ids)
+, turns AS (
+    SELECT i.conv_id, 0 AS part, o.pos, o.key, o.words FROM heads i JOIN own o ON o.conv_id = i.head_of AND o.pos <= i.h
+    UNION ALL SELECT o.conv_id, 1, o.pos, o.key, o.words FROM own o JOIN heads i ON o.conv_id = i.conv_id AND o.pos > i.h)
+, numbered AS (SELECT conv_id, key, words, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth FROM turns)
+, steps AS MATERIALIZED (SELECT conv_id, depth, words, string_agg(key, '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix
+    FROM numbered UNION ALL SELECT conv_id, 0, 0, '' FROM ids)
+, ends AS (SELECT conv_id, max(depth) AS depth, arg_max(prefix, depth) AS prefix FROM steps GROUP BY conv_id)
+, nodes AS MATERIALIZED (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words
+    FROM steps GROUP BY depth, prefix)
+, digests AS (SELECT prefix, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM ends GROUP BY prefix)
+, linked AS MATERIALIZED (SELECT n.*, p.conv_id AS parent_conv_id, p.prefix AS above FROM nodes n
+    LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[:-33])
+, kids AS (SELECT above AS prefix, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY above)
+, facts AS MATERIALIZED (SELECT l.*, coalesce(k.n_children, 0) AS n_children FROM linked l LEFT JOIN kids k USING (prefix))
+, below AS (SELECT s.prefix, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves,
+    sum((f.n_convs - 1) * f.words) AS saved_tokens
+    FROM facts f JOIN steps s ON s.conv_id = f.conv_id AND s.depth <= f.depth GROUP BY s.prefix)
+SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens,
+  coalesce(d.ends_sha256, sha256('')) AS ends_sha256
+FROM facts f JOIN below b USING (prefix) LEFT JOIN digests d USING (prefix)
+"""
