@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from labelloom.catalog.common import SPEC, STOP_WORDS, Area
-from labelloom.catalog.features import document_texts
+from labelloom.catalog.common import SPEC, STOP_WORDS, Area, with_sql
+from labelloom.catalog.features import HASHED, document_texts
 from labelloom.catalog.sampling import drawn
-from labelloom.operators import lsa, sampling, survey
+from labelloom.operators import evaluate, forest, lsa, passes, sampling, survey, svm
 from labelloom.operators import features as X
 from labelloom.session import new_path, stage
 
@@ -42,31 +42,144 @@ def _training(spark, folder):
     return tags, basis, lsa.as_vectors(features)
 
 
-def _survey(spark, folder, candidate):
-    tags, _, features = _training(spark, folder)
-    report = survey.analyze_tags(features, tags, [candidate])
-    return report.withColumn("mean_f1", F.round("mean_f1", 4)).withColumn("two_std", F.round("two_std", 4))
+def _blocks(spark, folder, kind):
+    """Blocks of every tag's sample: LSA features, or their bins."""
+    folded = stage(sampling.stratified_folds(drawn(spark, folder)[1], SPEC), "folds")
+    rows, basis = _fitted(X.sample_texts(folded, document_texts(spark, folder)))
+    features = stage(lsa.project(rows, basis), "sample-features")
+    if kind == "u1":
+        features = stage(forest.binned(features, forest.bin_edges(features)), "bins")
+    return stage(passes.row_blocks(features.join(folded, "id"), SPEC.rows, SPEC.folds, kind), "blocks")
+
+
+# Measured at all given sizes: languages are easy to tell, other tags of the given tables are nearly noise.
+LANGUAGES, LANGUAGE_FLOOR, FLOOR = ("de", "en", "es", "fr"), 0.8, 0.1
+
+
+def _surveyed(scores, *params):
+    """Rows and positives of every left-out fold, grid points scored on it, and whether the best one's mean is fair."""
+    scores = stage(scores, "fold-scores")
+    best = evaluate.best_params(evaluate.score_report(scores, *params), *params)
+    floor = F.when(F.col("tag").isin(*LANGUAGES), LANGUAGE_FLOOR).otherwise(FLOOR)
+    fair = best.select("tag", (F.col("mean_f1") >= floor).cast("int").alias("at_floor"))
+    folds = scores.groupBy("tag", "fold").agg(
+        F.max("n").alias("n"), F.max("positives").alias("positives"), F.count("*").alias("points")
+    )
+    return folds.withColumn("fold", F.col("fold").cast("long")).join(fair, "tag")
+
+
+def _surveyed_sql(points):
+    return with_sql(
+        f"""SELECT tag, fold::BIGINT AS fold, count(*) AS n, count(*) FILTER (WHERE label) AS positives,
+            {points}::BIGINT AS points, 1 AS at_floor FROM folded GROUP BY tag, fold"""
+    )
 
 
-# One grid point where a full grid would only repeat the same jobs; the library defaults are the whole grids.
 @area.add()
 def survey_bernoulli_nb(spark, folder):
-    return _survey(spark, folder, survey.bernoulli())
+    tags, _, features = _training(spark, folder)
+    report = survey.analyze_tags(features, tags, [survey.bernoulli()])
+    return report.withColumn("mean_f1", F.round("mean_f1", 4)).withColumn("two_std", F.round("two_std", 4))
 
 
-@area.add()
+@area.add(_surveyed_sql(len(svm.C_VALUES)))
 def survey_linear_svc(spark, folder):
-    return _survey(spark, folder, survey.linear_svc((1.0,), max_iter=20))
+    """The whole grid of costs for all tags and folds in one run."""
+    blocks = _blocks(spark, folder, "f8")
+    found = svm.fit(blocks, svm.grid(blocks.select("tag").distinct(), SPEC.folds), lsa.COMPONENTS)
+    return _surveyed(svm.fold_scores(blocks, found), "c")
 
 
-@area.add()
+FOREST_POINTS = len(forest.TREES) * len(forest.IMPURITIES) * len(forest.SUBSETS) * len(forest.MIN_SPLIT)
+
+
+@area.add(_surveyed_sql(FOREST_POINTS))
 def survey_random_forest(spark, folder):
-    return _survey(spark, folder, survey.random_forest((10,), ("gini",), ("sqrt",), (1, 2)))
+    """The whole grid of forests for all tags and folds, level by level."""
+    blocks = _blocks(spark, folder, "u1")
+    found = forest.fit(blocks, forest.grid(blocks.select("tag").distinct(), SPEC.folds, lsa.COMPONENTS))
+    return _surveyed(forest.fold_scores(blocks, found), "trees", "impurity", "subset", "min_split")
+
+
+ROOT_BUCKETS = 256
+
+
+def _mixed_sql(x, name):
+    """Expressions of the forests' hash of ``x``, one after the other."""
+    p = forest.PRIME
+    return {
+        f"{name}0": f"SELECT *, ({x}) % {p} AS h0 FROM",
+        f"{name}1": f"SELECT *, (h0 * h0 + 48271) % {p} AS h1 FROM",
+        f"{name}2": f"SELECT * EXCLUDE (h0, h1), (((h1 * h1 + h0) % {p}) * 69621) % {p} AS h FROM",
+    }
+
+
+def _hashed_by(source, x, name):
+    sql = source
+    for text in _mixed_sql(x, name).values():
+        sql = f"({text} {sql})"
+    return sql
+
+
+def _roots_sql():
+    trees, dims = max(forest.TREES), ROOT_BUCKETS
+    times = " + ".join(f"(h >= {t})::INT" for t in forest.POISSON)
+    row_hash = _hashed_by("(SELECT DISTINCT id FROM folded)", "id", "r")
+    weight_hash = _hashed_by(
+        f"(SELECT id, h AS rh, unnest(range({trees})) AS tree FROM {row_hash})", "rh * 31 + (tree + 1) * 1000003", "w"
+    )
+    tree_hash = _hashed_by(f"(SELECT unnest(range({trees})) AS tree)", "tree * 1000003 + 7919 + 1", "t")
+    order_hash = _hashed_by(
+        f"(SELECT tree, h AS th, unnest(range({dims})) AS feature FROM {tree_hash})", "th + feature * 104729", "f"
+    )
+    side = lambda a, b: f"({a} * {a} + {b} * {b}) / ({a} + {b})::DOUBLE"
+    xlog = lambda v: f"({v}) * ln(greatest({v}, 1)::DOUBLE)"
+    cross = lambda a, b: f"{xlog(a)} + {xlog(b)} - ({xlog(f'{a} + {b}')})"
+    subsets = ", ".join(f"('{s}', {forest.subset_size(s, dims)})" for s in forest.SUBSETS)
+    return with_sql(
+        """SELECT r.tag, r.fold, r.impurity, r.subset, m.min_split::INTEGER AS min_split, r.tree::INTEGER AS tree,
+            r.feature::INTEGER AS feature, r.bin::INTEGER AS bin
+            FROM ranked r, (SELECT unnest([2, 3]) AS min_split) m WHERE r.place = 1""",
+        signed=HASHED["signed"].replace("% 4096", f"% {dims}"),
+        hashed=HASHED["hashed"],
+        times=f"SELECT id, tree, {times} AS w FROM {weight_hash}",
+        choice=f"""SELECT s.subset, o.tree, o.feature FROM (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY h, feature) AS place
+            FROM {order_hash}) o JOIN (VALUES {subsets}) s(subset, k) ON o.place <= s.k""",
+        train="""SELECT f.tag, g.fold, f.id, f.label, t.tree, t.w FROM folded f JOIN times t USING (id)
+            JOIN (SELECT DISTINCT fold FROM folded) g ON f.fold <> g.fold WHERE t.w > 0""",
+        totals="""SELECT tag, fold, tree, sum(w) FILTER (WHERE label) AS p, sum(w) AS n FROM train GROUP BY ALL""",
+        cells=f"""SELECT t.tag, t.fold, t.tree, c.subset, c.feature, least(coalesce(h.tf, 0), {forest.BINS - 1}) AS bin,
+            coalesce(sum(w) FILTER (WHERE label), 0) AS p, sum(w) AS n
+            FROM train t JOIN choice c ON t.tree = c.tree LEFT JOIN hashed h ON h.id = t.id AND h.bucket = c.feature GROUP BY ALL""",
+        sides="""SELECT c.tag, c.fold, c.tree, c.subset, c.feature, c.bin, (sum(c.p) OVER line)::BIGINT AS lp,
+            (sum(c.n) OVER line - sum(c.p) OVER line)::BIGINT AS ln_, t.p::BIGINT AS p, (t.n - t.p)::BIGINT AS n
+            FROM cells c JOIN totals t USING (tag, fold, tree)
+            WINDOW line AS (PARTITION BY c.tag, c.fold, c.tree, c.subset, c.feature ORDER BY c.bin)""",
+        valid="SELECT *, p - lp AS rp, n - ln_ AS rn FROM sides WHERE p > 0 AND n > 0 AND lp + ln_ < p + n",
+        gains=f"""SELECT *, unnest(['gini', 'entropy']) AS impurity,
+            unnest([{side('lp', 'ln_')} + {side('rp', 'rn')}, {cross('lp', 'ln_')} + {cross('rp', 'rn')}]) AS gain FROM valid""",
+        ranked="""SELECT *, row_number() OVER (PARTITION BY tag, fold, tree, subset, impurity
+            ORDER BY round(gain, 6) DESC, feature, bin) AS place FROM gains""",
+    )
+
+
+@area.add(_roots_sql())
+def forest_root_splits(spark, folder):
+    """The first split of every tree of the grid, on hashed counts, which SQL can state."""
+    folded = stage(sampling.stratified_folds(drawn(spark, folder)[1], SPEC), "folds")
+    texts = X.sample_texts(folded, document_texts(spark, folder))
+    counts = forest.dense_counts(X.hashed_rows(texts, STOP_WORDS, ROOT_BUCKETS), ROOT_BUCKETS)
+    blocks = stage(passes.row_blocks(counts.join(folded, "id"), SPEC.rows, SPEC.folds, "u1"), "blocks")
+    jobs = forest.grid(blocks.select("tag").distinct(), SPEC.folds, ROOT_BUCKETS)
+    splits = forest.root_splits(forest.fit(blocks, jobs, max_depth=1))
+    return splits.where("feature >= 0").withColumn("fold", F.col("fold").cast("long"))
 
 
 @area.add()
 def survey_gradient_boosting(spark, folder):
-    return _survey(spark, folder, survey.gradient_boosting((10,), ("sqrt",), (1,)))
+    tags, _, features = _training(spark, folder)
+    report = survey.analyze_tags(features, tags, [survey.gradient_boosting((10,), ("sqrt",), (1,))])
+    return report.withColumn("mean_f1", F.round("mean_f1", 4)).withColumn("two_std", F.round("two_std", 4))
 
 
 @area.add()

@@ -24,6 +24,11 @@ class SampleSpec:
     seed: int = 0
     strict: bool = True
 
+    @property
+    def rows(self) -> int:
+        """The largest sample of a tag."""
+        return self.positives + self.negatives
+
     @property
     def slice_rows(self) -> int:
         """Rows to look through for enough negatives: eight standard deviations above the mean, plus a few."""
