@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from labelloom.catalog.common import SPEC, STOP_WORDS, Area, with_sql
 from labelloom.catalog.features import HASHED, document_texts
 from labelloom.catalog.sampling import drawn
-from labelloom.operators import evaluate, forest, lsa, passes, sampling, survey, svm
+from labelloom.operators import boosting, evaluate, forest, lsa, passes, sampling, survey, svm
 from labelloom.operators import features as X
 from labelloom.session import new_path, stage
 
@@ -108,7 +108,7 @@ def _mixed_sql(x, name):
     """Expressions of the forests' hash of ``x``, one after the other."""
     p = forest.PRIME
     return {
-        f"{name}0": f"SELECT *, ({x}) % {p} AS h0 FROM",
+        f"{name}0": f"SELECT *, ({x})::BIGINT % {p} AS h0 FROM",
         f"{name}1": f"SELECT *, (h0 * h0 + 48271) % {p} AS h1 FROM",
         f"{name}2": f"SELECT * EXCLUDE (h0, h1), (((h1 * h1 + h0) % {p}) * 69621) % {p} AS h FROM",
     }
@@ -166,20 +166,67 @@ def _roots_sql():
 @area.add(_roots_sql())
 def forest_root_splits(spark, folder):
     """The first split of every tree of the grid, on hashed counts, which SQL can state."""
-    folded = stage(sampling.stratified_folds(drawn(spark, folder)[1], SPEC), "folds")
-    texts = X.sample_texts(folded, document_texts(spark, folder))
-    counts = forest.dense_counts(X.hashed_rows(texts, STOP_WORDS, ROOT_BUCKETS), ROOT_BUCKETS)
-    blocks = stage(passes.row_blocks(counts.join(folded, "id"), SPEC.rows, SPEC.folds, "u1"), "blocks")
+    blocks = _count_blocks(spark, folder)
     jobs = forest.grid(blocks.select("tag").distinct(), SPEC.folds, ROOT_BUCKETS)
     splits = forest.root_splits(forest.fit(blocks, jobs, max_depth=1))
     return splits.where("feature >= 0").withColumn("fold", F.col("fold").cast("long"))
 
 
-@area.add()
+BOOSTING_POINTS = len(boosting.TREES) * len(boosting.SUBSETS) * len(boosting.MIN_SPLIT)
+
+
+@area.add(_surveyed_sql(BOOSTING_POINTS))
 def survey_gradient_boosting(spark, folder):
-    tags, _, features = _training(spark, folder)
-    report = survey.analyze_tags(features, tags, [survey.gradient_boosting((10,), ("sqrt",), (1,))])
-    return report.withColumn("mean_f1", F.round("mean_f1", 4)).withColumn("two_std", F.round("two_std", 4))
+    """The whole grid of boosted trees for all tags and folds, read off after 100, 200 and 300 trees."""
+    blocks = _blocks(spark, folder, "u1")
+    found = stage(boosting.fit(blocks, boosting.grid(blocks.select("tag").distinct(), SPEC.folds)), "boosted")
+    return _surveyed(boosting.fold_scores(blocks, found), "trees", "subset", "min_split")
+
+
+def _first_splits_sql():
+    tree_hash = _hashed_by("(SELECT 0 AS tree)", "tree * 1000003 + 7919 + 1", "t")
+    order_hash = _hashed_by(
+        f"(SELECT h AS th, unnest(range({ROOT_BUCKETS})) AS feature FROM {tree_hash})", "th + feature * 104729", "f"
+    )
+    subsets = ", ".join(f"('{s}', {forest.subset_size(s, ROOT_BUCKETS)})" for s in boosting.SUBSETS)
+    fall = lambda n, p: f"({p} - {n} * share) * ({p} - {n} * share) / {n}"
+    return with_sql(
+        """SELECT tag, fold, subset, m.min_split::INTEGER AS min_split, feature::INTEGER AS feature, bin::INTEGER AS bin
+            FROM ranked, (SELECT unnest([2, 3]) AS min_split) m WHERE place = 1""",
+        signed=HASHED["signed"].replace("% 4096", f"% {ROOT_BUCKETS}"),
+        hashed=HASHED["hashed"],
+        choice=f"""SELECT s.subset, o.feature FROM (SELECT *, row_number() OVER (ORDER BY h, feature) AS place
+            FROM {order_hash}) o JOIN (VALUES {subsets}) s(subset, k) ON o.place <= s.k""",
+        train="""SELECT f.tag, g.fold, f.id, f.label FROM folded f
+            JOIN (SELECT DISTINCT fold FROM folded) g ON f.fold <> g.fold""",
+        totals="SELECT tag, fold, count(*) FILTER (WHERE label) AS p, count(*) AS n FROM train GROUP BY ALL",
+        cells=f"""SELECT t.tag, t.fold, c.subset, c.feature, least(coalesce(h.tf, 0), {forest.BINS - 1}) AS bin,
+            count(*) FILTER (WHERE label) AS p, count(*) AS n
+            FROM train t CROSS JOIN choice c LEFT JOIN hashed h ON h.id = t.id AND h.bucket = c.feature GROUP BY ALL""",
+        sides="""SELECT c.tag, c.fold, c.subset, c.feature, c.bin, (sum(c.p) OVER line)::BIGINT AS lp,
+            (sum(c.n) OVER line)::BIGINT AS ln_, t.p, t.n, t.p / t.n::DOUBLE AS share FROM cells c JOIN totals t USING (tag, fold)
+            WINDOW line AS (PARTITION BY c.tag, c.fold, c.subset, c.feature ORDER BY c.bin)""",
+        ranked=f"""SELECT *, row_number() OVER (PARTITION BY tag, fold, subset ORDER BY
+            round({fall('ln_', 'lp')} + {fall('(n - ln_)', '(p - lp)')}, 6) DESC, feature, bin) AS place
+            FROM sides WHERE ln_ < n""",
+    )
+
+
+def _count_blocks(spark, folder):
+    """Blocks of every tag's sample with hashed counts as features, which SQL can state."""
+    folded = stage(sampling.stratified_folds(drawn(spark, folder)[1], SPEC), "folds")
+    texts = X.sample_texts(folded, document_texts(spark, folder))
+    counts = forest.dense_counts(X.hashed_rows(texts, STOP_WORDS, ROOT_BUCKETS), ROOT_BUCKETS)
+    return stage(passes.row_blocks(counts.join(folded, "id"), SPEC.rows, SPEC.folds, "u1"), "blocks")
+
+
+@area.add(_first_splits_sql())
+def boosting_first_splits(spark, folder):
+    """The first split of the first tree of every setting, on hashed counts."""
+    blocks = _count_blocks(spark, folder)
+    jobs = boosting.grid(blocks.select("tag").distinct(), SPEC.folds)
+    splits = boosting.first_splits(boosting.fit(blocks, jobs, trees=1))
+    return splits.where("feature >= 0").withColumn("fold", F.col("fold").cast("long"))
 
 
 @area.add()
