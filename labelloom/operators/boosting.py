@@ -38,6 +38,9 @@ class Boosted:
     bin: np.ndarray
     value: np.ndarray
 
+    def accepts(self, x: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        return self.margins(bins, (len(self.feature),))[:, 0] > 0
+
     def margins(self, x: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
         """Log odds of every row after each of the (ascending) numbers of trees."""
         total, out = np.full(len(x), self.start), np.empty((len(x), len(sizes)))
@@ -112,10 +115,11 @@ def grid(tags: DataFrame, folds: int, subsets: Sequence[str] = SUBSETS, min_spli
 
 
 def fit(blocks: DataFrame, jobs: DataFrame, trees: int = max(TREES)) -> DataFrame:
-    """States ``(tag, job, active, state)`` of ``jobs (tag, fold, subset, min_split)`` on blocks of bins; fold -1 leaves none out."""
+    """States ``(tag, job, active, state)`` of ``jobs (tag, fold, subset, min_split)``, or with ``trees`` of their own, on
+    blocks of bins; fold -1 leaves none out."""
 
     def run(key, table):
-        tag, fold, subset, min_split = (k.as_py() for k in key)
+        tag, fold, subset, min_split, trees = (k.as_py() for k in key)
         parts = sorted((pickle.loads(b) for b in table.column("data").to_pylist()), key=lambda b: (b.fold, b.ids.tolist()))
         train = [b for b in parts if b.fold != fold]
         dims = parts[0].x.shape[1]
@@ -127,8 +131,9 @@ def fit(blocks: DataFrame, jobs: DataFrame, trees: int = max(TREES)) -> DataFram
         return pa.table([pa.array(c, t) for c, t in zip(row, (pa.string(), pa.string(), pa.bool_(), pa.binary()))], names=names)
 
     names = ["tag", "job", "active", "state"]
-    keys = ("tag", "fold", "subset", "min_split")
-    here = blocks.select("tag", "data").join(jobs.select(*keys), "tag")
+    keys = ("tag", "fold", "subset", "min_split", "trees")
+    given = jobs if "trees" in jobs.columns else jobs.withColumn("trees", F.lit(trees))
+    here = blocks.select("tag", "data").join(given.select(*keys), "tag")
     return here.groupBy(*keys).applyInArrow(run, passes.STATE)
 
 

@@ -81,6 +81,10 @@ class Forest:
     def k(self) -> int:
         return subset_size(self.subset, self.dims)
 
+    def accepts(self, x: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        """Rows that the trees find positive on average."""
+        return shares(self, bins).mean(axis=1) > 0.5
+
 
 def planted(row: dict) -> Forest:
     n = row["trees"]
@@ -289,20 +293,19 @@ def bin_edges(features: DataFrame, bins: int = BINS, accuracy: int = 1000) -> np
     return np.array([row.edges for row in sorted(rows)])
 
 
-def binned(features: DataFrame, edges: np.ndarray) -> DataFrame:
-    """``features`` with its ``features`` as the number of edges below each value."""
-    others = [c for c in features.columns if c != "features"]
+def binned(features: DataFrame, edges: np.ndarray, name: str = "features") -> DataFrame:
+    """The rows with, as ``name``, the number of edges below each of the ``features``."""
+    others = [c for c in features.columns if c != name]
+    at = features.columns.index("features")
 
     def run(batches):
         for batch in batches:
-            values = batch.column("features")
-            x = values.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            x = batch.column(at).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
             bins = np.stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)], axis=1).astype(np.int32)
-            columns = {c: batch.column(c) for c in others}
-            yield pa.RecordBatch.from_pydict(columns | {"features": pa.array(list(bins), pa.list_(pa.int32()))})
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in others} | {name: pa.array(list(bins), pa.list_(pa.int32()))})
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in features.dtypes if c != "features")
-    return features.select(*others, "features").mapInArrow(run, schema + ", features array<int>")
+    schema = ", ".join(f"`{c}` {t}" for c, t in features.dtypes if c != name)
+    return features.mapInArrow(run, f"{schema}, {name} array<int>")
 
 
 def dense_counts(rows: DataFrame, buckets: int, bins: int = BINS) -> DataFrame:

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,10 +129,6 @@ def load_basis(table: DataFrame) -> LsaBasis:
     return LsaBasis(np.array([r["idf"] for r in lines]), np.array([r["vector"] for r in lines]), np.array([]))
 
 
-def as_vectors(features: DataFrame) -> DataFrame:
-    return features.withColumn("features", array_to_vector("features"))
-
-
 def fit_pca(rows: DataFrame, k: int = PRINCIPAL, buckets: int = BUCKETS, passes: int = 3, seed: int = 0) -> LsaBasis:
     """Principal components of the hashed counts ``(id, buckets, counts)``, by the same subspace iteration.
 

@@ -45,6 +45,10 @@ class State:
     def tried(self) -> np.ndarray:
         return self.w + self.size[:, None] * self.step
 
+    def accepts(self, x: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        """Rows on the positive side of the first column."""
+        return with_one(x) @ self.w[0] > 0
+
 
 def first_state(fold: int, c_values: Sequence[float], dims: int) -> State:
     k, zeros = len(c_values), np.zeros((len(c_values), dims + 1))

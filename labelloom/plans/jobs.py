@@ -11,11 +11,12 @@ import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.functions.text import tag_array
-from labelloom.operators import bayes, clean, evaluate, keywords, lsa, sampling, scoring, survey
+from labelloom.operators import bayes, clean, evaluate, families, forest, keywords, lsa, passes, sampling, scoring
 from labelloom.operators import features as X
 from labelloom.operators import tags as T
 from labelloom.operators.sampling import SampleSpec
@@ -94,46 +95,56 @@ def survey_bayes(work: Workspace) -> DataFrame:
     return best
 
 
-def survey_trained(
-    work: Workspace,
-    tags: Sequence[str] | None = None,
-    candidates: Sequence[survey.Candidate] = survey.ALL_CANDIDATES,
-    components: int = lsa.COMPONENTS,
-    batch: int = 16,
-) -> DataFrame:
-    """Grid-search the trained classifiers for the tags that have no result yet; results are kept per batch of tags.
+def survey_families(work: Workspace, grids: families.Grids = families.Grids(), components: int = lsa.COMPONENTS) -> DataFrame:
+    """Every family, grid point and fold of all tags on shared features; the winner of every tag, fitted and stored.
 
-    All tags share one basis fitted on all sampled documents, so that new documents are projected once and not once
-    per tag.
+    Returns the best mean of every (tag, model); the matrix of tags and models is written as CSV.
     """
-    samples = work.table("samples")
-
+    samples, folds = work.table("samples"), work.spec.folds
     texts = X.sample_texts(samples, _texts(work))
     rows = work.table("sample_rows", lambda: X.hashed_rows(texts, work.stop_words))
-    stored = work.table("lsa_basis", lambda: lsa.basis_table(work.spark, lsa.fit_lsa(rows, components)))
-    features = work.table("sample_features", lambda: lsa.project(rows, lsa.load_basis(stored)).join(samples, "id"))
-    wanted = work.table("frequent_tags").select("tag")
-    if tags is not None:
-        wanted = wanted.where(F.col("tag").isin(list(tags)))
-    results = work.path("survey")
-    schema = survey.REPORT_SCHEMA
-    none = work.spark.createDataFrame([], schema)
-    done = work.spark.read.schema(schema).parquet(results) if work.has("survey") else none
-    todo = [r["tag"] for r in sinks.pending_tags(wanted, done).orderBy("tag").collect()]
-    for at in range(0, len(todo), batch):
-        report = survey.analyze_tags(
-            lsa.as_vectors(features), todo[at : at + batch], candidates, work.path("models"), folds=work.spec.folds
-        )
-        report.coalesce(1).write.mode("append").parquet(results)
-    report = work.spark.read.schema(schema).parquet(results)
-    sinks.write_statistic(evaluate.score_matrix(report), work.path("survey_csv"))
-    return report
+    basis = work.table("lsa_basis", lambda: lsa.basis_table(work.spark, lsa.fit_lsa(rows, components)))
+    features = work.table("family_features", lambda: lsa.project(rows, lsa.load_basis(basis)))
+
+    def edges() -> DataFrame:
+        found = forest.bin_edges(features)
+        return work.spark.createDataFrame(list(enumerate(found.tolist())), "place int, edges array<double>")
+
+    stored = work.table("bin_edges", edges)
+    bins = forest.binned(features, _edges(stored))
+
+    def blocks(values: DataFrame, kind: str) -> DataFrame:
+        return passes.row_blocks(values.join(samples, "id"), work.spec.rows, folds, kind)
+
+    reals = work.table("blocks", lambda: blocks(features, "f8"))
+    whole = work.table("bin_blocks", lambda: blocks(bins, "u1"))
+    scores = work.table("family_scores", lambda: families.fold_scores(reals, whole, components, folds, grids))
+    best = work.table("family_best", lambda: families.best_of_families(families.report(scores)))
+    won = work.table("winners", lambda: evaluate.best_model(best))
+    work.table("winner_models", lambda: families.refit(won, reals, whole, components, folds))
+    if not work.has("family_matrix"):
+        sinks.write_statistic(evaluate.score_matrix(best), work.path("family_matrix"))
+    return best
+
+
+def _edges(stored: DataFrame) -> np.ndarray:
+    return np.array([row["edges"] for row in stored.orderBy("place").collect()])
+
+
+def _suggest_winners(work: Workspace, texts: DataFrame) -> DataFrame:
+    documents = lsa.project(X.hashed_rows(texts, work.stop_words), lsa.load_basis(work.table("lsa_basis")))
+    binned = stage(forest.binned(documents, _edges(work.table("bin_edges")), "bins"), "document-features")
+    return families.suggest(binned, work.table("winner_models"))
 
 
 def suggest(work: Workspace, questions: DataFrame, keyword: bool = False) -> DataFrame:
-    """``(id, tags)`` for new questions from the stored Bernoulli models, optionally with the best keyword."""
+    """``(id, tags)`` for new questions, optionally with the best keyword: from every tag's winner once
+    ``survey_families`` has run, from the Bernoulli models before."""
     texts = clean.model_input(clean.clean_questions(questions), work.sep, work.with_code)
-    predictions = scoring.suggest_tags(clean.document_terms(texts, work.stop_words), work.table("bayes_models"))
+    if work.has("winner_models"):
+        predictions = _suggest_winners(work, texts)
+    else:
+        predictions = scoring.suggest_tags(clean.document_terms(texts, work.stop_words), work.table("bayes_models"))
     if not keyword:
         return predictions
     predictions = stage(predictions, "suggestions")
@@ -149,17 +160,6 @@ def suggest(work: Workspace, questions: DataFrame, keyword: bool = False) -> Dat
     return keywords.with_keyword(predictions, keywords.keywords_of_queries(scores))
 
 
-def suggest_trained(work: Workspace, questions: DataFrame) -> DataFrame:
-    """``(id, tags)`` for new questions from the saved best models of the survey."""
-    texts = clean.model_input(clean.clean_questions(questions), work.sep, work.with_code)
-    rows = X.hashed_rows(texts, work.stop_words)
-    documents = lsa.project(rows, lsa.load_basis(work.table("lsa_basis")))
-    report = work.spark.read.schema(survey.REPORT_SCHEMA).parquet(work.path("survey"))
-    tags = [r["tag"] for r in report.select("tag").distinct().collect()]
-    models = survey.load_models(work.spark, work.path("models"), tags)
-    return survey.suggest_with_models(lsa.as_vectors(documents), models)
-
-
 def demonstrate(work: Workspace, tag: str, questions: DataFrame, keyword: bool = False) -> DataFrame:
     """The whole way for one tag's sample: its neighbouring tags, its questions and their true tags, suggestions and
     their mean score, all stored under ``demo``; returns the means."""

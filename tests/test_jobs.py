@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.operators import clean, survey
+from labelloom.operators import clean, families
 from labelloom.operators import tags as T
 from labelloom.operators.sampling import SampleSpec
 from labelloom.plans import jobs
@@ -113,17 +113,18 @@ def test_other_parameters_have_other_tables(work):
     assert other.path("samples") != space.path("samples") and not other.has("samples")
 
 
-def test_trained_survey_resumes(work):
+def test_winners_of_all_families_suggest(work, monkeypatch):
     space, rows = work
-    candidates = [survey.bernoulli((1.0,))]
-    assert jobs.survey_trained(space, ["java"], candidates, components=4).count() == 1
-    report = jobs.survey_trained(space, None, candidates, components=4)
-    assert sorted(r["tag"] for r in report.collect()) == ["java", "python"]
-    assert space.spark.read.csv(space.path("survey_csv"), header=True).count() == 2
+    few = families.Grids((1.0,), (1.0, 100.0), (5,), ("gini",), ("sqrt",), (2,), (10,))
+    best = jobs.survey_families(space, few, components=6)
+    assert sorted({(r["tag"], r["model"]) for r in best.collect()}) == [(t, m) for t in ("java", "python") for m in sorted(few.families)]
+    assert space.table("winners").count() == space.table("winner_models").count() == 2
+    assert space.spark.read.csv(space.path("family_matrix"), header=True).count() == 2
+    monkeypatch.setattr(families, "fold_scores", None)  # a second run finds every table
+    assert jobs.survey_families(space, few, components=6).count() == 8
     questions = rows.where("id < 30")
-    suggested = jobs.suggest_trained(space, questions)
-    scores = jobs.evaluate_suggestions(suggested, questions)
-    assert scores.count() == 30 and scores.agg(F.avg("f1")).first()[0] > 0.6
+    scores = jobs.evaluate_suggestions(jobs.suggest(space, questions), questions)
+    assert scores.count() == 30 and scores.agg(F.avg("f1")).first()[0] > 0.8
 
 
 def test_stages_are_deleted(spark, monkeypatch):

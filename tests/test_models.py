@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.operators import bayes, evaluate, keywords, lsa, scoring, survey
+from labelloom.operators import bayes, evaluate, keywords, lsa, scoring
 from labelloom.operators import features as X
 
 
@@ -155,28 +155,6 @@ def test_lsa_matches_dense_svd(spark):
     assert np.array_equal(stored.vectors, basis.vectors) and np.array_equal(stored.idf, basis.idf)
 
 
-def test_survey_of_trained_models(spark, tmp_path):
-    rng = random.Random(4)
-    rows = []
-    for tag in ("x", "y"):
-        for i in range(60):
-            label = i % 4 == 0
-            rows.append((tag, i, label, (i // 4) % 3, [rng.gauss(2 if label else -2, 1), rng.gauss(0, 1)]))
-    frame = spark.createDataFrame(rows, "tag string, id long, label boolean, fold int, features array<double>")
-    candidates = [
-        survey.bernoulli(),
-        survey.linear_svc((1.0,), max_iter=10),
-        survey.random_forest((5,), ("gini",), ("sqrt",), (1,)),
-        survey.gradient_boosting((3,), ("sqrt",), (1,)),
-    ]
-    report = survey.analyze_tags(lsa.as_vectors(frame), ["x", "y"], candidates, str(tmp_path)).collect()
-    assert len(report) == 8 and all(0.7 <= r["mean_f1"] <= 1 for r in report)
-    models = survey.load_models(spark, str(tmp_path), ["x", "y"])
-    questions = spark.createDataFrame([(1, [3.0, 0.0]), (2, [-3.0, 0.0])], "id long, features array<double>")
-    found = survey.suggest_with_models(lsa.as_vectors(questions), models)
-    assert {r["id"]: r["tags"] for r in found.collect()} == {1: ["x", "y"], 2: []}
-
-
 def test_best_model_breaks_ties_by_order(spark):
     report = spark.createDataFrame(
         [("t", "linear_svc", 0.5), ("t", "bernoulli_nb", 0.5), ("t", "random_forest", 0.4), ("u", "random_forest", 0.1)],
