@@ -55,11 +55,12 @@ def question_csv_scan(spark, folder):
     return Q.read_questions_csv(spark, path)
 
 
-@area.add(with_sql("SELECT id % 20 AS id, body, code, code_blocks FROM cleaned WHERE id IN (SELECT max(id) FROM cleaned GROUP BY id % 20)", **CLEAN))
+@area.add(with_sql("SELECT id, body, code, code_blocks FROM cleaned", **CLEAN))
 def corpus_by_id(spark, folder):
-    """Pages under ids that repeat: the last row of each id wins and is cleaned."""
-    pages = Q.questions_from_pages(spark, folder).withColumn("line", F.col("id")).withColumn("id", F.col("id") % 20)
-    latest = Q.latest_by_id(pages, "line")
+    """All pages and an older version of each under the same id: the last row of each id wins and is cleaned."""
+    pages = Q.questions_from_pages(spark, folder)
+    older = pages.withColumn("body", F.concat(F.lit("<p>older</p>"), F.reverse("body"))).withColumn("line", F.lit(0))
+    latest = Q.latest_by_id(pages.withColumn("line", F.lit(1)).unionByName(older), "line")
     return _shown(clean.clean_questions(latest)).drop("title")
 
 
