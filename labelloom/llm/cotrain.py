@@ -10,8 +10,8 @@ Fitting is on bounded samples in hash order, at most ``LABELLED`` labelled and `
 driver; features of the samples and the scores of all documents, whole texts, are computed in tasks.
 
 Defined cases: null texts are empty and are scored by their lack of words; null metadata is a value of its own; null
-labels are no labels; documents with several label rows are judged by the worst; without labelled documents of both
-kinds every document is kept with probability one half; repeated rows are scored alike; an empty table gives no rows;
+labels are no labels; documents with several label rows are judged by the worst; without two labelled documents of
+each kind every document is kept with probability one half; repeated rows are scored alike; an empty table gives no rows;
 other columns pass through.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -218,11 +219,13 @@ def co_train(sample, rounds: int = ROUNDS) -> Model | None:
     """The model of a pandas frame of ``sampled_features``; none without labels of both kinds."""
     labelled = sample["good"].notna().to_numpy()
     good = sample["good"].where(labelled, False).astype(bool).to_numpy()
-    held = labelled & (shingles.mix(sample["doc_id"].to_numpy().astype(np.uint64)) % np.uint64(4) == 3)
-    train = labelled & ~held
-    for part in (held, train):
-        if good[part].all() or not good[part].any():
+    turn, held = shingles.mix(sample["doc_id"].to_numpy().astype(np.uint64)), np.zeros(len(sample), dtype=bool)
+    for kind in (True, False):
+        mine = np.flatnonzero(labelled & (good == kind))
+        if len(mine) < 2:
             return None
+        held[mine[np.argsort(turn[mine], kind="stable")][1::4]] = True
+    train = labelled & ~held
     shape = np.vstack(sample["shape"].to_numpy())
     quantiles = np.linspace(0, 1, CUTS + 2)[1:-1]
     cuts = np.quantile(shape[labelled], quantiles, axis=0).T
@@ -284,10 +287,24 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     sample = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.col("n_chars").cast("long").alias("n_chars"), "text"
     ).join(F.broadcast(chosen.union(others)), "doc_id")
-    frame = sampled_features(sample).toPandas().drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True)
+    frame = as_frame(sampled_features(sample).toArrow())
     return co_train(frame) if len(frame) else None
 
 
+def as_frame(table: pa.Table) -> pd.DataFrame:
+    """The sample by id, each id once; buckets and shapes are views of two flat arrays and no Python numbers."""
+    table = table.combine_chunks()
+    if not len(table):
+        return pd.DataFrame({"doc_id": []})
+    views = {}
+    for name in ("buckets", "shape"):
+        lists = table.column(name).combine_chunks()
+        views[name] = np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+    frame = table.drop_columns(["buckets", "shape"]).to_pandas().assign(place=np.arange(len(table)))
+    frame = frame.drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True)
+    return frame.assign(**{name: [v[i] for i in frame["place"]] for name, v in views.items()})
+
+
 def score(docs: DataFrame, model: Model | None, add: str | None = None) -> DataFrame:
     """``doc_id, p_good, p_text, p_meta`` of every document, or all its columns and the probability under the name
     ``add``."""
