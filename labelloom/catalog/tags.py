@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from labelloom.catalog.common import IMPORTANT, SPEC, Area, with_sql
 from labelloom.functions.text import tag_array
 from labelloom.operators import tags as T
-from labelloom.session import new_path
+from labelloom.session import new_path, stage
 from labelloom.sources import sinks
 from labelloom.sources.questions import questions_from_benchmark, questions_from_documents
 
@@ -92,6 +92,18 @@ def neighbouring_tags(spark, folder):
     return T.neighbouring_tags(questions, TAG, candidates)
 
 
+@area.add(
+    with_sql(
+        """SELECT a.tag, b.tag AS other, count(*) AS shared FROM uses a JOIN uses b ON a.id = b.id AND a.tag <> b.tag
+            WHERE a.tag IN (SELECT tag FROM frequent) AND b.tag IN (SELECT tag FROM frequent) GROUP BY ALL"""
+    )
+)
+def tag_cooccurrence(spark, folder):
+    """Neighbours of all frequent tags at once, with the number of questions they share."""
+    tagged = stage(questions_from_documents(spark, folder).select("id", "tags"), "tagged")
+    return T.tag_cooccurrence(tagged, T.frequent_tags(T.tag_histogram(tagged), SPEC.more_than))
+
+
 # The benchmark's item ids serve as the ids of a small query sample.
 @area.add(
     with_sql(

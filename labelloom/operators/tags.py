@@ -89,6 +89,24 @@ def neighbouring_tags(questions: DataFrame, tag: str, candidates: DataFrame) ->
     return together.join(candidates.select("tag"), "tag", "left_semi")
 
 
+def tag_cooccurrence(questions: DataFrame, selected: DataFrame) -> DataFrame:
+    """``(tag, other, shared)``: in how many documents any two selected tags stand together, both ways round.
+
+    Tags that are not selected go before pairs are made; pairs are made inside a document's row, each once in the order
+    of its tags, and counted before the shuffle. No table is joined with itself.
+    """
+    uses = questions.select("id", F.explode(F.array_distinct(tag_array(F.col("tags")))).alias("tag"))
+    kept = uses.join(selected.select("tag"), "tag", "left_semi")
+    rows = kept.groupBy("id").agg(F.array_sort(F.collect_set("tag")).alias("tags")).where(F.size("tags") > 1)
+    pairs = F.transform(
+        "tags",
+        lambda tag, i: F.transform(F.slice("tags", i + 2, F.size("tags")), lambda other: F.struct(tag.alias("tag"), other.alias("other"))),
+    )
+    counted = rows.select(F.explode(F.flatten(pairs)).alias("pair")).groupBy("pair.tag", "pair.other").agg(F.count("*").alias("shared"))
+    both = F.explode(F.array(F.struct("tag", "other"), F.struct(F.col("other").alias("tag"), F.col("tag").alias("other"))))
+    return counted.select(both.alias("pair"), "shared").select("pair.tag", "pair.other", "shared")
+
+
 def tags_of_sample(questions: DataFrame, sample: DataFrame, known: DataFrame) -> DataFrame:
     """Distinct known tags of the sampled documents with the id where each is first seen."""
     chosen = questions.select("id", "tags").join(sample.select("id"), "id", "left_semi")

@@ -102,3 +102,14 @@ def test_first_per_key_under_skew(spark):
     )
     found = S.first_per_key(rows, "k", [F.col("id")], 5).where("k = 'hot'").orderBy("id")
     assert [r["id"] for r in found.collect()] == [0, 1, 2, 3, 4]
+
+
+def test_cooccurrence_counts_documents_once_both_ways(spark):
+    rows = [(1, "a b c"), (2, "b a a"), (3, "c"), (4, ""), (5, "  a  z b "), (6, None), (7, "z a")]
+    questions = spark.createDataFrame(rows, "id long, tags string")
+    selected = spark.createDataFrame([("a",), ("b",), ("c",), ("unused",)], "tag string")
+    found = T.tag_cooccurrence(questions, selected)
+    expected = {("a", "b"): 3, ("b", "a"): 3, ("a", "c"): 1, ("c", "a"): 1, ("b", "c"): 1, ("c", "b"): 1}
+    assert {(r.tag, r.other): r.shared for r in found.collect()} == expected
+    none = T.tag_cooccurrence(questions, selected.where("tag = 'c'"))
+    assert none.count() == 0
