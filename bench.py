@@ -23,6 +23,8 @@ HEADLINE = (
     "suggest_tags",
     "document_f1",
     "pca_features",
+    "tag_cooccurrence",
+    "survey_linear_svc",
 )
 
 
