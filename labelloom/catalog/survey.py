@@ -9,7 +9,7 @@ from labelloom.catalog.features import HASHED, document_texts
 from labelloom.catalog.sampling import drawn
 from labelloom.operators import boosting, evaluate, families, forest, lsa, passes, sampling, signs, svm
 from labelloom.operators import features as X
-from labelloom.session import stage
+from labelloom.session import new_path, stage
 
 area = Area()
 
@@ -32,6 +32,33 @@ def pca_features(spark, folder):
     return lsa.project(rows, lsa.fit_pca(rows))
 
 
+def _checks_sql(components):
+    return with_sql(
+        f"""SELECT count(*) AS documents, {components}::BIGINT AS components, 1 AS orthonormal, 1 AS falling, 1 AS squares_kept
+            FROM docs"""
+    )
+
+
+def _checked(spark, rows, fit, name):
+    """Facts about a basis that was stored and loaded again."""
+    path = new_path(spark, name)
+    lsa.basis_table(spark, fit(rows)).write.parquet(path)
+    basis = lsa.load_basis(spark.read.parquet(path))
+    return lsa.basis_checks(stage(lsa.project(rows, basis), "projected"), basis)
+
+
+@area.add(_checks_sql(lsa.COMPONENTS))
+def lsa_basis_checks(spark, folder):
+    rows = stage(X.hashed_rows(document_texts(spark, folder), STOP_WORDS), "hashed-rows")
+    return _checked(spark, rows, lsa.fit_lsa, "lsa-basis")
+
+
+@area.add(_checks_sql(lsa.PRINCIPAL))
+def pca_basis_checks(spark, folder):
+    rows = stage(X.hashed_rows(document_texts(spark, folder), STOP_WORDS), "hashed-rows")
+    return _checked(spark, rows, lsa.fit_pca, "pca-basis")
+
+
 def _blocks(spark, folder, *kinds):
     """Blocks of every tag's sample, of LSA features (``f8``) or their bins (``u1``), and what made the features."""
     folded = stage(sampling.stratified_folds(drawn(spark, folder)[1], SPEC), "folds")

@@ -118,15 +118,52 @@ def project(rows: DataFrame, basis: LsaBasis) -> DataFrame:
     return rows.mapInPandas(rotate, "id long, features array<double>")
 
 
+# Rows of a stored basis that belong to no bucket.
+VALUES, CENTER = -1, -2
+
+
 def basis_table(spark: SparkSession, basis: LsaBasis) -> DataFrame:
-    """``(bucket, idf, vector)``, a row per bucket, to be stored."""
-    lines = [(i, float(w), [float(x) for x in v]) for i, (w, v) in enumerate(zip(basis.idf, basis.vectors))]
+    """``(bucket, idf, vector)`` to be stored: a row per bucket, one with the singular values and whether rows are
+    brought to unit length, and one with the center if there is one."""
+    lines = [(i, float(w), v.tolist()) for i, (w, v) in enumerate(zip(basis.idf, basis.vectors))]
+    lines.append((VALUES, float(basis.unit), np.asarray(basis.singular_values).tolist()))
+    if basis.center is not None:
+        lines.append((CENTER, 0.0, basis.center.tolist()))
     return spark.createDataFrame(lines, "bucket long, idf double, vector array<double>")
 
 
 def load_basis(table: DataFrame) -> LsaBasis:
-    lines = table.orderBy("bucket").collect()
-    return LsaBasis(np.array([r["idf"] for r in lines]), np.array([r["vector"] for r in lines]), np.array([]))
+    lines = {r["bucket"]: r for r in table.collect()}
+    values, center = lines.pop(VALUES), lines.pop(CENTER, None)
+    rows = [lines[i] for i in range(len(lines))]
+    return LsaBasis(
+        np.array([r["idf"] for r in rows]),
+        np.array([r["vector"] for r in rows]),
+        np.array(values["vector"]),
+        center=np.array(center["vector"]) if center else None,
+        unit=values["idf"] > 0,
+    )
+
+
+def basis_checks(features: DataFrame, basis: LsaBasis) -> DataFrame:
+    """One row about the projected rows that a basis was fitted on: documents, components, and whether vectors are
+    orthonormal, values fall, and the rows' squares (variances, with a center) along each component are the values'."""
+    k = basis.vectors.shape[1]
+    orthonormal = np.abs(basis.vectors.T @ basis.vectors - np.eye(k)).max() < 1e-8
+    falling = (np.diff(basis.singular_values) <= 1e-9).all()
+    entries = features.select("id", F.posexplode("features").alias("place", "x"))
+    squares = F.sum(F.col("x") * F.col("x")) if basis.center is None else F.var_samp("x")
+    found = entries.groupBy("place").agg(squares.alias("square"), F.avg("x").alias("mean")).collect()  # a row per component
+    kept = all(abs(r["square"] - basis.singular_values[r["place"]] ** 2) <= 1e-6 * basis.singular_values[0] ** 2 for r in found)
+    middle = basis.center is None or all(abs(r["mean"]) <= 1e-6 * basis.singular_values[0] for r in found)
+    flag = lambda x: F.lit(int(bool(x)))
+    return features.agg(F.count("*").alias("documents")).select(
+        "documents",
+        F.lit(k).cast("long").alias("components"),
+        flag(orthonormal).alias("orthonormal"),
+        flag(falling).alias("falling"),
+        flag(kept and middle).alias("squares_kept"),
+    )
 
 
 def fit_pca(rows: DataFrame, k: int = PRINCIPAL, buckets: int = BUCKETS, passes: int = 3, seed: int = 0) -> LsaBasis:
