@@ -69,7 +69,7 @@ def test_awkward_rows(spark):
     rows += rows[:5]  # repeated rows are turns of their own
     rows += [(None, 0, "user", "lost", "x", 1), (40, None, None, None, None, None), (40, None, "user", None, None, 1)]
     rows += [(41, 0, "user", "same turn", "x", 1), (41, 0, "user", "other text", "x", 1), (-7, 3, "user", "c", "x", 1), (-20, 3, "user", "c", "x", 1)]
-    rows += [(60, i, "user", f"long {i % 3}", "x", 1) for i in range(700)] + [(61, i, "user", f"long {i % 3}", "x", 1) for i in range(650)]
+    rows += [(60, i, "user", f"long {i % 3}", "x", 1) for i in range(150)] + [(61, i, "user", f"long {i % 3}", "x", 1) for i in range(130)]
     rows += [(c, 0, "user", "c", "x", 1) for c in range(100, 140)]
     found = t.conversation_trie(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
     assert sorted(map(tuple, found)) == plain(rows)
