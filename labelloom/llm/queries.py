@@ -218,9 +218,13 @@ def _secret_scan_sql() -> str:
         f" string_split_regex(x, {quoted(p)}) AS g FROM t"
         for rank, (kind, p) in enumerate(patterns)
     )
-    allowed = " OR ".join(f"regexp_matches(found, {quoted(p)})" for p in k.ALLOWED)
-    limit = {kind: k.largest_sum(bits) for kind, bits in k.BITS.items()}
-    window = f"string_split(substr(found, j::INT, {k.WINDOW}), '')"
+    listed = lambda patterns: " OR ".join(f"regexp_matches(found, {quoted(p)})" for p in patterns)
+    mixed = "regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]')"
+    limit = lambda bits, window: (
+        f"CASE WHEN is_hex THEN {k.largest_sum(bits['entropy_hex'], window)}"
+        f" ELSE {k.largest_sum(bits['entropy_key'], window)} END"
+    )
+    window = "string_split(substr(found, j::INT, size), '')"
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
 , matched AS ({found})
@@ -231,15 +235,25 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
 , spans AS (SELECT *, start + length(found) AS stop FROM placed)
 , base AS (SELECT doc_id, rank, kind, start, stop FROM spans WHERE kind IN ('access', 'hex')
     OR kind = 'assign' AND length(regexp_extract(found, {quoted(k.ASSIGN)}, 2)) >= {k.ASSIGN_VALUE})
-, runs AS (SELECT *, regexp_matches(found, '^[0-9a-fA-F]+$') AS is_hex FROM spans c WHERE kind = 'candidate'
-    AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]') AND NOT ({allowed})
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop))
-, measured AS (SELECT *, list_min(list_transform(range(1, length(found) - {k.WINDOW} + 2), lambda j:
+, runs AS (SELECT doc_id, found, start, stop FROM spans WHERE kind = 'candidate' AND {mixed})
+, edges AS (SELECT *, start AS place FROM runs UNION SELECT r.*, b.stop FROM runs r JOIN base b
+    ON b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop AND b.stop < r.stop)
+, cut AS (SELECT e.doc_id, e.found AS run, e.start AS run_start, e.place AS start, coalesce(min(b.start), e.stop) AS stop
+    FROM edges e LEFT JOIN base b ON b.doc_id = e.doc_id AND b.start > e.place AND b.start < e.stop
+    WHERE NOT EXISTS (SELECT 1 FROM base k WHERE k.doc_id = e.doc_id AND k.start <= e.place AND e.place < k.stop)
+    GROUP BY e.doc_id, e.found, e.start, e.stop, e.place)
+, parts AS (SELECT doc_id, start, stop, substr(run, (start - run_start + 1)::INT, (stop - start)::INT) AS found,
+    CASE WHEN stop - start >= {k.WINDOW} THEN {k.WINDOW} ELSE {k.SHORT_WINDOW} END AS size FROM cut
+    WHERE stop - start >= {k.SHORT_WINDOW})
+, secret AS (SELECT *, regexp_matches(found, '^[0-9a-fA-F]+$') AS is_hex FROM parts WHERE {mixed}
+    AND NOT ({listed(k.ALLOWED)}) AND (size = {k.WINDOW} OR NOT ({listed(k.ALLOWED_SHORT)})))
+, measured AS (SELECT *, list_min(list_transform(range(1, length(found) - size + 2), lambda j:
     list_sum(list_transform(list_distinct({window}), lambda ch:
-      {list(k.SUMS)}[len(list_filter({window}, lambda z: z = ch)) + 1])))) AS least FROM runs)
+      {list(k.SUMS)}[len(list_filter({window}, lambda z: z = ch)) + 1])))) AS least FROM secret)
 , more AS (SELECT doc_id, CASE WHEN is_hex THEN 3 ELSE 4 END AS rank,
     CASE WHEN is_hex THEN 'entropy_hex' ELSE 'entropy_key' END AS kind, start, stop FROM measured
-    WHERE least <= CASE WHEN is_hex THEN {limit['entropy_hex']} ELSE {limit['entropy_key']} END)
+    WHERE least <= CASE WHEN size = {k.WINDOW} THEN {limit(k.BITS, k.WINDOW)}
+      ELSE {limit(k.SHORT_BITS, k.SHORT_WINDOW)} END)
 , per_base AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
     count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, stop, rank) AS shown FROM base GROUP BY doc_id)

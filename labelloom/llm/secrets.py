@@ -1,10 +1,12 @@
 """Secret scan with column expressions only.
 
-Base patterns find assignments, access keys and long hex runs. Beyond them, long runs of key characters are candidates:
-a window of ``WINDOW`` characters slides over each, the counts of its characters are carried along by adding the one
-that enters and removing the one that leaves, and with them the sum of c * log2(c), from which the Shannon entropy
-follows. A run is reported when some window exceeds the threshold of its character class, when it is not on the
-allow-list and when it touches no base span. Entropy sums are whole numbers (1e-6 bits), so every engine agrees.
+Base patterns find assignments, access keys and long hex runs. Beyond them, runs of key characters are candidates. Base
+spans are cut out of a run, and what is left of it on either side is measured by itself: a window slides over it, the
+counts of its characters are carried along by adding the one that enters and removing the one that leaves, and with them
+the sum of c * log2(c), from which the Shannon entropy follows. A part is reported when some window reaches the threshold
+of its character class and when it is not on the allow-list. Parts of ``WINDOW`` characters and more take a window of that
+many; shorter ones of at least ``SHORT_WINDOW`` take that window, its own thresholds and a longer allow-list, because
+ordinary compounds of words and numbers are as long. Entropy sums are whole numbers (1e-6 bits), so every engine agrees.
 
 Defined cases: a null or empty text has no spans; positions are code points, ends exclusive; repeated rows are judged
 one by one; an empty table gives no rows; other columns pass through unread.
@@ -29,12 +31,13 @@ ASSIGN_VALUE = 12
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-WINDOW = 20
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
+WINDOW, SHORT_WINDOW = 20, 12
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SCALE = 1_000_000
 SUMS = [0] + [round(SCALE * c * log2(c)) for c in range(1, WINDOW + 2)]
 BITS = {"entropy_hex": 2.8, "entropy_key": 3.6}
+SHORT_BITS = {"entropy_hex": 2.7, "entropy_key": 3.2}
 KINDS = ("assign", "access", "hex", *BITS)
 # Runs that are no secrets whatever their entropy: numbers, identifiers of known shape, words joined by separators.
 ALLOWED = (
@@ -44,12 +47,14 @@ ALLOWED = (
     r"EXAMPLE",
     r"^([0-9]+[-/_]?)+$",
 )
+# Among shorter ones also pieces between separators that are words, numbers or both in one change ("19th-century", "UTF8").
+ALLOWED_SHORT = (r"^[-_/=+]*([A-Za-z]*[0-9]*|[0-9]+[A-Za-z]+)([-_/=+]+([A-Za-z]*[0-9]*|[0-9]+[A-Za-z]+))*$",)
 BLOCK = 256
 
 
-def largest_sum(bits: float) -> int:
+def largest_sum(bits: float, window: int = WINDOW) -> int:
     """Largest sum of c * log2(c) in a window that still has ``bits`` of entropy."""
-    return round(SCALE * WINDOW * (log2(WINDOW) - bits))
+    return round(SCALE * window * (log2(window) - bits))
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -85,7 +90,7 @@ def located(text: Column, pattern: str) -> Column:
     )
 
 
-def least_window_sum(run: Column) -> Column:
+def least_window_sum(run: Column, window: Column) -> Column:
     """Least sum of c * log2(c) over all windows of a run, by counts that follow the window."""
     sums = F.array(*[F.lit(s) for s in SUMS])
     at = lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1)))
@@ -93,7 +98,7 @@ def least_window_sum(run: Column) -> Column:
     state = F.struct(zero.alias("counts"), F.lit(0).alias("sum"), F.lit(2_000_000_000).alias("least"))
 
     def slide(s, i):
-        entering, leaving = at(i), F.when(i > WINDOW, at(i - WINDOW)).otherwise(F.lit(0))
+        entering, leaving = at(i), F.when(i > window, at(i - window)).otherwise(F.lit(0))
 
         def step(v):
             c_in = F.element_at(s["counts"], v["entering"] + 1)
@@ -107,7 +112,7 @@ def least_window_sum(run: Column) -> Column:
                 s["counts"],
                 lambda c, k: c + (k == v["entering"]).cast("int") - ((k == v["leaving"]) & (k > 0)).cast("int"),
             )
-            least = F.when(i >= WINDOW, F.least(s["least"], total)).otherwise(s["least"])
+            least = F.when(i >= window, F.least(s["least"], total)).otherwise(s["least"])
             return F.struct(counts.alias("counts"), total.alias("sum"), least.alias("least"))
 
         return let(F.struct(entering.alias("entering"), leaving.alias("leaving"), sums.alias("sums")), step)
@@ -128,6 +133,31 @@ def _value_length(found: Column) -> Column:
     return F.char_length(F.regexp_extract(found, ASSIGN, 2))
 
 
+def free_parts(m: Column) -> Column:
+    """Parts of a run ``(found, start)`` that no base span covers, in order; spans come in order of their starts."""
+    stop = m["start"] + F.char_length(m["found"])
+    touching = F.filter("base_spans", lambda b: (b["start"] < stop) & (m["start"] < b["end"]))
+    with_part = lambda parts, start, end: F.when(
+        start < end, F.concat(parts, F.array(F.struct(start.alias("start"), end.alias("end"))))
+    ).otherwise(parts)
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    parts = F.aggregate(
+        touching,
+        F.struct(m["start"].alias("reach"), none.alias("parts")),
+        lambda a, b: F.struct(
+            F.greatest(a["reach"], b["end"]).alias("reach"), with_part(a["parts"], a["reach"], b["start"]).alias("parts")
+        ),
+        lambda a: with_part(a["parts"], a["reach"], stop),
+    )
+    cut = F.transform(
+        parts,
+        lambda p: F.struct(
+            F.substring(m["found"], p["start"] - m["start"] + 1, p["end"] - p["start"]).alias("found"), p["start"].alias("start")
+        ),
+    )
+    return F.when(F.size(touching) == 0, F.array(m)).otherwise(cut)
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans``: arrays of ``(start, end, rank, kind)`` in order."""
     source = F.coalesce(F.col(text), F.lit(""))
@@ -140,21 +170,26 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         )
     )
     with_base = docs.withColumn("base_spans", base)
-    mixed = lambda m: (
-        m["found"].rlike("[0-9]")
-        & m["found"].rlike("[A-Za-z]")
-        & ~m["found"].rlike("|".join(f"(?:{p})" for p in ALLOWED))
+    mixed = lambda m: m["found"].rlike("[0-9]") & m["found"].rlike("[A-Za-z]")
+    listed = lambda m, patterns: m["found"].rlike("|".join(f"(?:{p})" for p in patterns))
+    is_long = lambda m: F.char_length(m["found"]) >= WINDOW
+    is_hex = lambda m: m["found"].rlike("^[0-9a-fA-F]+$")
+    runs = F.filter(located(source, CANDIDATE), mixed)
+    candidates = F.filter(
+        F.flatten(F.transform(runs, free_parts)),
+        lambda m: (F.char_length(m["found"]) >= SHORT_WINDOW)
+        & mixed(m)
+        & ~listed(m, ALLOWED)
+        & (is_long(m) | ~listed(m, ALLOWED_SHORT)),
     )
-    free = lambda m: ~F.exists(
-        "base_spans",
-        lambda b: (b["start"] < m["start"] + F.char_length(m["found"])) & (m["start"] < b["end"]),
+    limit = lambda m, bits, window: F.when(is_hex(m), F.lit(largest_sum(bits["entropy_hex"], window))).otherwise(
+        F.lit(largest_sum(bits["entropy_key"], window))
     )
-    is_hex = lambda m: m["found"].rlike("^[0-9a-fA-F]+$")
-    candidates = F.filter(located(source, CANDIDATE), lambda m: mixed(m) & free(m))
-    limit = lambda m: F.when(is_hex(m), F.lit(largest_sum(BITS["entropy_hex"]))).otherwise(
-        F.lit(largest_sum(BITS["entropy_key"]))
+    secret = F.filter(
+        candidates,
+        lambda m: least_window_sum(m["found"], F.when(is_long(m), F.lit(WINDOW)).otherwise(F.lit(SHORT_WINDOW)))
+        <= F.when(is_long(m), limit(m, BITS, WINDOW)).otherwise(limit(m, SHORT_BITS, SHORT_WINDOW)),
     )
-    secret = F.filter(candidates, lambda m: least_window_sum(m["found"]) <= limit(m))
     more = F.transform(
         secret, lambda m: F.when(is_hex(m), _span("entropy_hex", m)).otherwise(_span("entropy_key", m))
     )

@@ -25,19 +25,22 @@ def secret_spans(text, scan):
                 base.append((m.start(), m.end(), rank, kind))
     base.sort()
     more = []
-    for m in re.finditer(scan.CANDIDATE, text):
+    covered = {i for start, end, _, _ in base for i in range(start, end)}
+    free = "".join(" " if i in covered else c for i, c in enumerate(text))
+
+    def entropy(w):
+        return -sum(w.count(c) / len(w) * log2(w.count(c) / len(w)) for c in set(w))
+
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", free):
         run = m[0]
-        if any(s < m.end() and m.start() < e for s, e, _, _ in base):
-            continue
-        if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or any(re.search(p, run) for p in scan.ALLOWED):
+        short = len(run) < scan.WINDOW
+        allowed = scan.ALLOWED + (scan.ALLOWED_SHORT if short else ())
+        if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or any(re.search(p, run) for p in allowed):
             continue
         kind = "entropy_hex" if re.fullmatch("[0-9a-fA-F]+", run) else "entropy_key"
-
-        def entropy(w):
-            return -sum(w.count(c) / len(w) * log2(w.count(c) / len(w)) for c in set(w))
-
-        best = max(entropy(run[i : i + scan.WINDOW]) for i in range(len(run) - scan.WINDOW + 1))
-        if best >= scan.BITS[kind] - 1e-6:
+        window, bits = (scan.SHORT_WINDOW, scan.SHORT_BITS) if short else (scan.WINDOW, scan.BITS)
+        best = max(entropy(run[i : i + window]) for i in range(len(run) - window + 1))
+        if best >= bits[kind] - 1e-6:
             more.append((m.start(), m.end(), scan.KINDS.index(kind), kind))
     return base, sorted(base + more)
 
