@@ -11,7 +11,8 @@
    passages are found.
 
 A document is contaminated by an item when tiles cover at least ``threshold`` of the item's words. Items shorter than
-``seed`` words are one seed that must occur whole.
+``seed`` words are one seed that must occur whole, anywhere in a document: documents are also hashed in windows of the
+lengths of such items, of which there are at most ``seed`` - 1.
 
 Defined cases: null and empty texts have no words and are never contaminated, and such items contaminate nothing;
 equal items each get their pairs; documents that share an id are judged as one, rows without an id are left out; an empty table on either side gives no
@@ -127,35 +128,64 @@ def item_seeds(benchmark: DataFrame, seed: int = SEED) -> DataFrame:
     return rows.mapInArrow(run, "item_id long, item_words binary, seeds array<long>, n_words int")
 
 
-def documents_with_seeds(docs: DataFrame, wanted: np.ndarray, seed: int = SEED) -> DataFrame:
-    """``(doc_id, words, seeds)`` of the documents that hold any of the ``wanted`` seed hashes, those seeds distinct."""
+def short_seeds(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``size`` words inside the texts, equal to the one seed of a text of so many words, and
+    the text of each."""
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    rolled = np.full(n, size, dtype=np.uint64)
+    for i in range(size):
+        rolled = rolled * np.uint64(shingles.FACTOR) + words[i : i + n]
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    inside = owner[:n] == owner[size - 1 :]
+    return shingles.mix(rolled[inside]), owner[:n][inside]
+
+
+def documents_with_seeds(
+    docs: DataFrame, wanted: np.ndarray, seed: int = SEED, short: tuple[int, ...] = ()
+) -> DataFrame:
+    """``(doc_id, words, seeds)`` of the documents that hold any of the ``wanted`` seed hashes, those seeds distinct.
+    ``short`` are the lengths of items of fewer words than a seed."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(np.sort(wanted.view(np.uint64)))  # at most BLOCK_SEEDS numbers
 
     def run(batches):
         from labelloom.llm import shingles as s
+        from labelloom.llm.tiling import short_seeds as windows
 
         known = shared.value
         coarse = np.zeros(1 << 24, dtype=bool)
         coarse[known >> np.uint64(40)] = True
+
+        def known_only(seeds, owner):
+            hits = np.flatnonzero(coarse[seeds >> np.uint64(40)])
+            spot = np.minimum(np.searchsorted(known, seeds[hits]), len(known) - 1)
+            hits = hits[known[spot] == seeds[hits]]
+            return seeds[hits], owner[hits]
+
         for batch in batches:
             for at, texts in s.slices(batch.column("text")):
                 words, bounds = s.word_hashes(texts)
                 seeds, places = s.shingle_hashes(words, bounds, seed)
-                hits = np.flatnonzero(coarse[seeds >> np.uint64(40)])
-                spot = np.minimum(np.searchsorted(known, seeds[hits]), len(known) - 1)
-                hits = hits[known[spot] == seeds[hits]]
-                owner = np.searchsorted(places, hits, side="right") - 1
-                rows = np.unique(owner)
-                doc_ids = batch.column("doc_id").slice(at, len(texts)).take(pa.array(rows))
+                owners = np.repeat(np.arange(len(places) - 1), np.diff(places))
+                kinds = [(seeds, owners), *(windows(words, bounds, size) for size in short)]
+                kept = [known_only(*kind) for kind in kinds]
+                values, owner = (np.concatenate(parts) for parts in zip(*kept))
+                order = np.lexsort((values, owner))
+                values, owner = values[order], owner[order]
+                new = np.ones(len(values), dtype=bool)
+                new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+                values, owner = values[new], owner[new]
+                rows, starts = np.unique(owner, return_index=True)
+                doc_ids = batch.column("doc_id").slice(at, len(texts)).take(pa.array(rows, pa.int64()))
+                ends = pa.array(np.append(starts, len(values)), pa.int32())
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": doc_ids,
                         "doc_words": pa.array([words[bounds[r] : bounds[r + 1]].tobytes() for r in rows], pa.binary()),
-                        "seeds": pa.array(
-                            [np.unique(seeds[hits[owner == r]]).view(np.int64) for r in rows], pa.list_(pa.int64())
-                        ),
+                        "seeds": pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64))),
                     }
                 )
 
@@ -200,12 +230,14 @@ def contaminated_pairs(
     placed = items.select("item_id", "n_words", F.posexplode("seeds").alias("pos", "seed"))
     hashes = placed.select("seed").distinct()
     blocks = -(-hashes.count() // block_seeds)
+    lengths = items.where((F.col("n_words") > 0) & (F.col("n_words") < seed)).select("n_words").distinct()
+    short = tuple(sorted(r.n_words for r in lengths.collect()))  # at most seed - 1 numbers
     found = None
     for block in range(blocks):
         part = hashes.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)
-        wanted = np.array(part.toPandas()["seed"], dtype=np.int64)  # a block: about block_seeds numbers
+        wanted = part.toArrow().column("seed").to_numpy()  # a block: about block_seeds numbers
         if len(wanted):
-            here = documents_with_seeds(docs, wanted, seed)
+            here = documents_with_seeds(docs, wanted, seed, short)
             found = here if found is None else found.union(here)
     if found is None:
         return spark.createDataFrame(

@@ -90,7 +90,8 @@ def test_contamination(spark, docs):
     documents = spark.createDataFrame(rows, "doc_id long, text string")
     benchmark = spark.createDataFrame([(10, passage), (11, None), (12, "it goes"), (13, passage)], "item_id long, text string")
     found = {(r.doc_id, r.item_id): r for r in tiling.contaminated_pairs(documents, benchmark).collect()}
-    assert set(found) == {(1, 10), (2, 10), (1, 13), (2, 13)}
+    assert set(found) == {(1, 10), (2, 10), (1, 13), (2, 13), (6, 12)}
+    assert found[6, 12].covered == 2 and found[6, 12].n_tiles == 1
     assert found[1, 10].covered == 40 and found[2, 10].n_tiles == 2 and found[2, 10].coverage == 1.0
     in_blocks = tiling.contaminated_pairs(documents, benchmark, block_seeds=10)
     assert {(r.doc_id, r.item_id) for r in in_blocks.collect()} == set(found)
@@ -101,6 +102,20 @@ def test_contamination(spark, docs):
     assert tiling.contaminated_pairs(docs, benchmark).count() == 0
 
 
+def test_short_items_inside_texts(spark):
+    rng = random.Random(8)
+    vocabulary = ["so", "it", "goes", "on", "and"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(12))) for _ in range(60)]
+    items = ["on", "it goes", "goes so on", "it on so and", "", "goes goes goes goes"]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in tiling.contaminated_pairs(documents, benchmark, block_seeds=2).collect()}
+    wanted = {
+        (d, i) for d, text in enumerate(texts) for i, item in enumerate(items) if item and f" {item} " in f" {text} "
+    }
+    assert found == wanted and {i for _, i in wanted} >= {0, 1, 2}
+
+
 # -- one-permutation fingerprints --
 
 
