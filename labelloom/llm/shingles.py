@@ -71,6 +71,18 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> t
     return mix(rolled[whole]), kept[bounds]
 
 
+def inner_windows(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``size`` words inside the texts, each equal to the only shingle of a text of just those
+    words, with every text's bounds."""
+    n = max(len(words) - size + 1, 0)
+    rolled = np.full(n, size, dtype=np.uint64)
+    for i in range(size):
+        rolled = rolled * np.uint64(FACTOR) + words[i : i + n]
+    inside = np.repeat(bounds[1:], np.diff(bounds))[:n] >= np.arange(n) + size
+    kept = np.concatenate([[0], np.cumsum(inside)])
+    return mix(rolled[inside]), kept[np.minimum(bounds, n)]
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Runs of about ``most`` bytes, with the place of their first text; nulls are empty texts."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -128,20 +128,6 @@ def item_seeds(benchmark: DataFrame, seed: int = SEED) -> DataFrame:
     return rows.mapInArrow(run, "item_id long, item_words binary, seeds array<long>, n_words int")
 
 
-def short_seeds(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``size`` words inside the texts, equal to the one seed of a text of so many words, and
-    the text of each."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-    rolled = np.full(n, size, dtype=np.uint64)
-    for i in range(size):
-        rolled = rolled * np.uint64(shingles.FACTOR) + words[i : i + n]
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    inside = owner[:n] == owner[size - 1 :]
-    return shingles.mix(rolled[inside]), owner[:n][inside]
-
-
 def documents_with_seeds(
     docs: DataFrame, wanted: np.ndarray, seed: int = SEED, short: tuple[int, ...] = ()
 ) -> DataFrame:
@@ -153,26 +139,24 @@ def documents_with_seeds(
 
     def run(batches):
         from labelloom.llm import shingles as s
-        from labelloom.llm.tiling import short_seeds as windows
 
         known = shared.value
         coarse = np.zeros(1 << 24, dtype=bool)
         coarse[known >> np.uint64(40)] = True
 
-        def known_only(seeds, owner):
+        def known_only(seeds, places):
             hits = np.flatnonzero(coarse[seeds >> np.uint64(40)])
             spot = np.minimum(np.searchsorted(known, seeds[hits]), len(known) - 1)
             hits = hits[known[spot] == seeds[hits]]
-            return seeds[hits], owner[hits]
+            return seeds[hits], np.searchsorted(places, hits, side="right") - 1
 
         for batch in batches:
             for at, texts in s.slices(batch.column("text")):
                 words, bounds = s.word_hashes(texts)
                 seeds, places = s.shingle_hashes(words, bounds, seed)
-                owners = np.repeat(np.arange(len(places) - 1), np.diff(places))
-                kinds = [(seeds, owners), *(windows(words, bounds, size) for size in short)]
-                kept = [known_only(*kind) for kind in kinds]
-                values, owner = (np.concatenate(parts) for parts in zip(*kept))
+                found = [known_only(seeds, places)]
+                found += [known_only(*s.inner_windows(words, bounds, size)) for size in short]
+                values, owner = (np.concatenate(parts) for parts in zip(*found))
                 order = np.lexsort((values, owner))
                 values, owner = values[order], owner[order]
                 new = np.ones(len(values), dtype=bool)
