@@ -10,6 +10,7 @@ from labelloom.operators import clean
 from labelloom.session import new_path
 from labelloom.sources import questions as Q
 from labelloom.sources import sinks
+from labelloom.sources.large_csv import read_large_questions_csv
 
 area = Area()
 
@@ -55,6 +56,14 @@ def question_csv_scan(spark, folder):
     return Q.read_questions_csv(spark, path)
 
 
+@area.add(with_sql("SELECT id, title, body, tags FROM docs"))
+def question_csv_ranges(spark, folder):
+    """The same files scanned in byte ranges of 256 KB, records with line breaks put together across their borders."""
+    path = new_path(spark, "question-csv")
+    Q.questions_from_documents(spark, folder).write.option("header", True).option("escape", '"').csv(path)
+    return read_large_questions_csv(spark, path, range_bytes=256 << 10)
+
+
 @area.add(with_sql("SELECT id, body, code, code_blocks FROM cleaned", **CLEAN))
 def corpus_by_id(spark, folder):
     """All pages and an older version of each under the same id: the last row of each id wins and is cleaned."""

@@ -19,8 +19,7 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
 def read_questions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Question CSV with a header, quoted multi-line bodies and doubled quotes.
 
-    A file with line breaks inside fields is read by one task, so large inputs should come as many files and be
-    turned into Parquet once (``sinks.write_clean_corpus``).
+    A file with line breaks inside fields is read by one task; ``large_csv`` reads large files in ranges.
     """
     raw = spark.read.csv(path, schema=QUESTION_SCHEMA, header=True, multiLine=True, quote='"', escape='"')
     return raw.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "body", "tags")])
