@@ -18,7 +18,8 @@ Texts of equal words are classes from the start, and only one of each goes on. T
    have in common: see ``differing_pairs``. Both find every pair whose weighted index reaches the threshold, so every link of
    texts without repeated shingles; the first is merely cheaper for few members.
 3. Where a shingle repeats, the weighted index may be below the threshold and the probability index not. So in every
-   bucket pairs with such a text are compared too, unless their shares of shingles are too far apart.
+   bucket pairs with such a text are compared too, unless their shares of shingles are too far apart or, in larger
+   buckets, too few of their common shingles differ in number: see ``pairs_with_repeats``.
 4. Components of all links are the classes. Pairs inside a component are never listed.
 
 Pairs are dropped early by parity bitmaps: every element flips one of 512 bits, so two bitmaps differ in at most as
@@ -35,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.llm import shingles
@@ -48,6 +49,7 @@ SMALL = 4
 ELEMENT_BYTES = 5
 MARKS = 8
 BINS = 64
+EVEN = 0.02
 _MARK = "struct<size:int," + ",".join(f"b{i}:bigint" for i in range(MARKS)) + ">"
 
 
@@ -285,83 +287,201 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
     return _with_sets(pairs, sets, "a", "b").select("a", "b", "ea", "wa", "eb", "wb").mapInArrow(run, "a long, b long")
 
 
+def differences(
+    hub: np.ndarray, in_hub: np.ndarray, text: np.ndarray, in_text: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, int, tuple[float, float, float], np.ndarray]:
+    """What a text has more or less of than its hub, from distinct elements and counts of both.
+
+    The elements whose counts differ, those that the hub lacks first; by how much; how many the hub lacks; three shares
+    of the text: of elements that both have in different numbers, of elements that the hub lacks, and the greatest of
+    those under one bit; and the bits of those.
+    """
+    common, at_hub, at_text = np.intersect1d(hub, text, assume_unique=True, return_indices=True)
+    more = in_text[at_text] - in_hub[at_hub]
+    uneven = more != 0
+    lost, new = np.ones(len(hub), dtype=bool), np.ones(len(text), dtype=bool)
+    lost[at_hub] = False
+    new[at_text] = False
+    elements = np.concatenate([text[new], hub[lost], common[uneven]])
+    amounts = np.concatenate([in_text[new], in_hub[lost], np.abs(more[uneven])])
+    bits = 64 * MARKS
+    total = max(int(in_text.sum()), 1)
+    place = (shingles.mix(text[new]) % np.uint64(bits)).astype(np.int64)
+    mass = np.bincount(place, in_text[new], minlength=bits) / total
+    shares = (float(in_text[at_text][uneven].sum() / total), float(mass.sum()), float(mass.max()))
+    return elements, amounts, int(new.sum()), shares, np.packbits(mass > 0, bitorder="little").view("<i8")
+
+
 def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Every ``(hub, doc_id, big)`` with ``linked``, the sizes of both sides, and, for ``big`` pairs, the elements that
-    only one side has (``delta``)."""
+    """Every ``(hub, doc_id, big)`` with its ``likeness``, ``linked``, the sizes of both sides, and, for ``big`` pairs,
+    the ``differences`` of ``doc_id``: ``delta`` and ``amount`` of its elements, the number ``lacked`` by the hub, three
+    shares and bits."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("big", "ea", "wa", "eb", "wb")]
-            linked, sizes, deltas = [], [], []
+            found, deltas, amounts, lacked, shares, news = [], [], [], [], [], []
             for big, ea, wa, eb, wb in zip(*columns):
                 a, b = p.unpack_elements(ea), p.unpack_elements(eb)
-                linked.append(p.likeness(a, wa, b, wb) >= threshold - 1e-12)
-                sizes.append((len(a), len(b)))
-                deltas.append(np.setxor1d(a, b, assume_unique=True).astype(np.int64) if big else [])
+                found.append((p.likeness(a, wa, b, wb), len(a), len(b)))
+                if big:
+                    delta, amount, new, share, bits = p.differences(*p.counted(a, wa), *p.counted(b, wb))
+                else:
+                    delta, amount, new, share, bits = [], [], 0, (0.0, 0.0, 0.0), np.zeros(p.MARKS, dtype=np.int64)
+                deltas.append(np.asarray(delta, dtype=np.int64))
+                amounts.append(np.asarray(amount, dtype=np.int32))
+                lacked.append(new)
+                shares.append(share)
+                news.append(bits)
+            bits = np.array(news, dtype=np.int64).reshape(-1, p.MARKS)
             yield pa.RecordBatch.from_pydict(
                 {
                     "hub": batch.column("hub"),
                     "doc_id": batch.column("doc_id"),
                     "big": batch.column("big"),
-                    "linked": pa.array(linked, pa.bool_()),
-                    "hub_size": pa.array([x for x, _ in sizes], pa.int32()),
-                    "size": pa.array([x for _, x in sizes], pa.int32()),
+                    "likeness": pa.array([x for x, _, _ in found], pa.float64()),
+                    "linked": pa.array([x >= threshold - 1e-12 for x, _, _ in found], pa.bool_()),
+                    "hub_size": pa.array([x for _, x, _ in found], pa.int32()),
+                    "size": pa.array([x for _, _, x in found], pa.int32()),
                     "delta": pa.array(deltas, pa.list_(pa.int64())),
+                    "amount": pa.array(amounts, pa.list_(pa.int32())),
+                    "lacked": pa.array(lacked, pa.int32()),
                 }
+                | {name: pa.array([x[i] for x in shares], pa.float64()) for i, name in enumerate(("uneven", "fresh", "top"))}
+                | {f"f{i}": pa.array(bits[:, i], pa.int64()) for i in range(p.MARKS)}
             )
 
     joined = _with_sets(stars, sets, "hub", "doc_id")
     return joined.select("hub", "doc_id", "big", "ea", "wa", "eb", "wb").mapInArrow(
-        run, "hub long, doc_id long, big boolean, linked boolean, hub_size int, size int, delta array<long>"
+        run,
+        "hub long, doc_id long, big boolean, likeness double, linked boolean, hub_size int, size int, delta array<long>, "
+        "amount array<int>, lacked int, uneven double, fresh double, top double, " + ",".join(f"f{i} long" for i in range(MARKS)),
     )
 
 
-def differing_pairs(
-    judged: DataFrame, components: DataFrame, marks: DataFrame, threshold: float = THRESHOLD
-) -> DataFrame:
-    """``(a, b)``: all pairs of one hub and different components whose weighted index can reach the threshold, from
-    their deltas. Alike means by that index, which is never above the one that links.
-
-    With sizes s and differences D to the hub, two sets differ in D1 + D2 - 2 * o places, o the deltas' common
-    elements, and they are alike if that is at most c * (s1 + s2), c = (1 - t) / (1 + t). One of the two is not alike
-    the hub, so its D exceeds c * (s + hub size), and o must exceed (D2 - c * (s2 - hub size)) / 2 for the other. If
-    the other's delta is put in order, rarest element first, some common element is among the first D2 - that. So it
-    is enough to join those first elements of every set with all elements of the sets that are not alike the hub, and
-    of them only elements that different components have. Independent changes of a text have rare elements of their
-    own in front, and meet nobody.
-    """
-    c = (1 - threshold) / (1 + threshold)
+def apart_from_hub(judged: DataFrame, components: DataFrame) -> DataFrame:
+    """The ``big`` rows with their ``component``, of hubs whose members are in several components."""
     inside = (
         judged.where("big")
         .join(components.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
-    rows = inside.select(
-        "hub", "doc_id", "component", "size", "hub_size", F.size("delta").alias("d"), F.explode("delta").alias("element")
+    several = inside.groupBy("hub").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return inside.join(several.select("hub"), "hub")
+
+
+def uneven_can_meet(left: str, right: str, threshold: float) -> Column:
+    """Whether two texts of one hub can have a probability index of the threshold, of which one repeats shingles.
+
+    The index is a sum over common elements. Those of equal counts add up to at most the weighted index, which the
+    parity bits bound; every other adds at most the smaller of its shares. An element that two texts have in different
+    numbers has not the hub's number in one of them (``uneven``), or the hub lacks it: then it sets a bit of both, and
+    no bit stands for more than ``top``. Besides, 1 - index is a metric, so likenesses to the hub bound it too.
+    """
+    x, y = (lambda name: F.col(f"{left}.{name}")), (lambda name: F.col(f"{right}.{name}"))
+    differ = sum(F.bit_count(x(f"b{i}").bitwiseXOR(y(f"b{i}"))) for i in range(MARKS))
+    met = sum(F.bit_count(x(f"f{i}").bitwiseAND(y(f"f{i}"))) for i in range(MARKS))
+    size = x("size") + y("size")
+    new = F.least(x("fresh"), y("fresh"), met * F.least(x("top"), y("top")))
+    return (
+        (x("repeats") | y("repeats"))
+        & (F.abs(x("likeness") - y("likeness")) <= 1 - threshold + 1e-9)
+        & ((size - differ) / (size + differ) + x("uneven") + y("uneven") + new >= threshold - 1e-9)
+        & shares_can_meet(f"{left}.shares", f"{right}.shares", threshold)
     )
+
+
+def _exploded(inside: DataFrame, delta: Column) -> DataFrame:
+    """``(hub, doc_id, component, linked, size, hub_size, d, element, amount)``, ``d`` the sum of all amounts."""
+    total = F.aggregate("amount", F.lit(0).cast("long"), lambda t, x: t + x)
+    columns = ["hub", "doc_id", "component", "linked", "size", "hub_size"]
+    rows = inside.select(*columns, total.alias("d"), F.explode(delta).alias("e"))
+    return rows.select(*columns, "d", F.col("e.delta").alias("element"), "e.amount")
+
+
+def differing_pairs(
+    inside: DataFrame, marks: DataFrame, may_link: Column, threshold: float = THRESHOLD, least: float = THRESHOLD
+) -> DataFrame:
+    """``(a, b)``: all pairs of one hub and different components whose weighted index can reach ``least`` and for whose
+    columns ``mx`` and ``mark`` ``may_link`` holds, from their deltas. The weighted index is never above the one that
+    links at ``threshold``; ``marks`` are ``(hub, doc_id, mark)``.
+
+    With sizes s and differences D to the hub (sums of amounts), two multisets differ in at least D1 + D2 - 2 * o
+    places, o the sum of the smaller amounts of the deltas' common elements, and they reach an index t if they differ in
+    at most c(t) * (s1 + s2), c(t) = (1 - t) / (1 + t). One of the two is not linked with the hub, so its D exceeds
+    c(threshold) * (s1 + hub size), and s1 is at most s2 / least. Thus o must exceed some number (``spare``) that only
+    the other's sizes and D decide. If the other's delta is put in order, rarest element first, some common element
+    comes before the point from where on less is left than that. So it is enough to join those first elements of every
+    set with all elements of the sets that are not linked with the hub, and of them only elements that different
+    components have. Independent changes of a text have rare elements of their own in front, and meet nobody.
+    """
+    c, wide = ((1 - t) / (1 + t) for t in (threshold, least))
+    rows = _exploded(inside, F.arrays_zip("delta", "amount"))
     stats = rows.groupBy("hub", "element").agg(
         F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("shared")
     )
     known = rows.join(stats, ["hub", "element"])
-    enough = F.col("d") - F.greatest(F.floor((F.col("d") - c * (F.col("size") - F.col("hub_size"))) / 2 - 1e-9), F.lit(0))
-    line = F.sort_array(F.collect_list(F.struct("n", "element", "shared")))
+    needed = F.col("d") - wide * F.col("size") + c * F.col("hub_size") - (wide - c) * F.col("size") / least
+    spare = F.greatest(F.floor(needed / 2 - 1e-9), F.lit(0))
+    rarest = Window.partitionBy("hub", "doc_id").orderBy("n", "element").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("amount").over(rarest), F.lit(0))
     first = (
-        known.groupBy("hub", "doc_id", "component", "size", "hub_size", "d")
-        .agg(line.alias("line"))
-        .withColumn("e", F.explode(F.slice("line", F.lit(1), enough.cast("int"))))
-        .where("e.shared")
-        .select("hub", F.col("doc_id").alias("x"), F.col("component").alias("cx"), F.col("e.element").alias("element"))
+        known.withColumn("remaining", F.col("d") - before)
+        .where((F.col("remaining") > spare) & F.col("shared"))
+        .select("hub", F.col("doc_id").alias("x"), F.col("component").alias("cx"), "element")
     )
-    apart = known.where(F.col("shared") & (F.col("d") > c * (F.col("size") + F.col("hub_size")) - 1e-9))
-    apart = apart.join(marks, "doc_id").select(F.col("hub").alias("h"), F.col("element").alias("e"), "doc_id", "component", "mark")
-    first = first.join(marks.select(F.col("doc_id").alias("x"), F.col("mark").alias("mx")), "x")
+    apart = known.where("shared AND NOT linked").select("hub", "element", "doc_id", "component")
+    apart = apart.join(marks, ["hub", "doc_id"]).withColumnsRenamed({"hub": "h", "element": "e"})
+    first = first.join(marks.select("hub", F.col("doc_id").alias("x"), F.col("mark").alias("mx")), ["hub", "x"])
     same = (F.col("hub") == F.col("h")) & (F.col("element") == F.col("e"))
-    met = first.join(apart, same & (F.col("cx") != F.col("component")) & can_meet("mx", "mark", threshold))
+    met = first.join(apart, same & (F.col("cx") != F.col("component")) & may_link)
+    return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
+
+
+def pairs_by_numbers(inside: DataFrame, marks: DataFrame, may_link: Column) -> DataFrame:
+    """``(a, b)``: pairs of one hub and different components that have an element in different numbers that the hub
+    lacks, and for whose columns ``mx`` and ``mark`` ``may_link`` holds."""
+    new = _exploded(inside, F.slice(F.arrays_zip("delta", "amount"), F.lit(1), F.col("lacked")))
+    differ = new.groupBy("hub", "element").agg(
+        (F.min("component") < F.max("component")).alias("torn"), (F.min("amount") < F.max("amount")).alias("numbers")
+    )
+    rows = new.join(differ.where("torn AND numbers").select("hub", "element"), ["hub", "element"])
+    rows = rows.select("hub", "element", "doc_id", "component", "amount").join(marks, ["hub", "doc_id"])
+    other = rows.toDF("h", "x", "e", "cx", "n", "mx")
+    same = (F.col("hub") == F.col("h")) & (F.col("element") == F.col("e")) & (F.col("amount") < F.col("n"))
+    met = rows.join(other, same & (F.col("cx") != F.col("component")) & may_link)
     return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
 
 
+def pairs_with_repeats(inside: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(a, b)``: all pairs of one hub and different components whose probability index can reach the threshold and of
+    which one text repeats shingles.
+
+    Most texts hold hardly any element in another number than their hub, at most a share of ``EVEN``. Two of these
+    are as like by the weighted index as by the other, but for twice that share, unless they have an element in
+    different numbers that the hub lacks. Both kinds of pairs are found by joins on elements; only texts that have
+    more in other numbers are compared with all members of their hub.
+    """
+    repeating = sets.select("doc_id", (F.length("weights") > 0).alias("repeats"), "shares", "mark")
+    measured = ["likeness", "uneven", "fresh", "top", *[f"f{i}" for i in range(MARKS)]]
+    members = inside.join(repeating, "doc_id")
+    hubs = members.groupBy("hub").agg(F.bool_or("repeats").alias("any"), F.max("uneven").alias("most")).where("any")
+    rows = members.join(hubs.select("hub", "most"), "hub").withColumn("mark", F.struct("repeats", "shares", "mark.*", *measured))
+    rows = stage(rows.drop("repeats", "shares", *measured[2:]), "hubs-with-repeats")
+    marks = rows.select("hub", "doc_id", "mark")
+    even = rows.where(F.col("uneven") <= EVEN)
+    may_link = uneven_can_meet("mx", "mark", threshold)
+    odd = (F.col("mx.uneven") > EVEN) | (F.col("mark.uneven") > EVEN)
+    drifted = rows.where(F.col("most") > EVEN).select(F.col("hub").alias("key"), "doc_id", "component", "mark")
+    return (
+        differing_pairs(even, marks, may_link, threshold, threshold - 2 * EVEN)
+        .union(pairs_by_numbers(even, marks, may_link))
+        .union(cross_pairs(drifted, odd & may_link))
+    )
+
+
 def cross_pairs(rows: DataFrame, may_link) -> DataFrame:
     """``(a, b)``, distinct: members of one bucket in different components for whose columns ``mx`` and ``mark``
     ``may_link`` holds, from ``(key, doc_id, component, mark)``.
@@ -414,8 +534,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     few = few.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), "mark")
     rare = cross_pairs(stage(few, "small-buckets"), can_meet("mx", "mark", threshold))
     repeats = sets.select("doc_id", F.struct((F.length("weights") > 0).alias("repeats"), "shares").alias("mark"))
-    # Only buckets with a text that repeats a shingle and with more than one component.
-    placed = crowded.join(named, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    # Only small buckets with a text that repeats a shingle and with more than one component; then texts of one hub.
+    placed = members.where(F.col("n") <= small).join(named, "doc_id", "left")
+    placed = placed.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     placed = placed.join(repeats.select("doc_id", "mark.repeats"), "doc_id")
     torn = placed.groupBy("key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.bool_or("repeats").alias("any")
@@ -423,9 +544,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     mixed = placed.join(torn.where("any AND lo < hi").select("key"), "key").drop("repeats").join(repeats, "doc_id")
     may_link = (F.col("mx.repeats") | F.col("mark.repeats")) & shares_can_meet("mx.shares", "mark.shares", threshold)
     uneven = cross_pairs(stage(mixed, "buckets-with-repeats"), may_link)
-    apart = differing_pairs(judged, components, marks, threshold)
+    inside = stage(apart_from_hub(judged, components), "apart-from-hub")
+    by_hub = inside.select("hub", "doc_id").join(marks, "doc_id").select("hub", "doc_id", "mark")
+    apart = differing_pairs(inside, by_hub, can_meet("mx", "mark", threshold), threshold, threshold)
+    drifted = pairs_with_repeats(inside, sets, threshold)
     told = judged.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
-    rest = rare.union(apart).union(uneven).distinct().join(told, ["a", "b"], "left_anti")
+    rest = rare.union(apart).union(uneven).union(drifted).distinct().join(told, ["a", "b"], "left_anti")
     more = stage(verified(stage(rest, "cross-pairs"), sets, threshold), "cross-links")
     roots = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 

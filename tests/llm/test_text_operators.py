@@ -178,7 +178,7 @@ def slow_classes(rows):
     ids = sorted(texts)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            linked = weighted_jaccard(sets[a], sets[b]) >= 0.8 if sets[a] and sets[b] else not sets[a] and texts[a] == texts[b] and not sets[b]
+            linked = prob_jaccard(sets[a], sets[b]) >= 0.8 if sets[a] and sets[b] else not sets[a] and texts[a] == texts[b] and not sets[b]
             if linked:
                 parent[max(root(a), root(b))] = min(root(a), root(b))
     return {d: root(d) for d in ids}
@@ -224,6 +224,64 @@ def test_repeated_passages_are_linked_by_the_probability_index(spark, small):
     assert found == expected and len(set(found.values())) == 12
 
 
+@pytest.mark.parametrize("small", [4, 1])
+def test_one_group_of_repeating_texts_matches_brute_force(spark, small):
+    rng = random.Random(21)
+    base = [prose(rng, 30) for _ in range(3)]
+    extra = [prose(rng, 12) for _ in range(3)]
+    rows = []
+    for i in range(90):  # lines repeated in various numbers, lines of their own and shared ones, changed words
+        lines = [w for j, line in enumerate(base) for w in [line] * (3 + (rng.random() < 0.1) * (j + 1))]
+        lines += [extra[rng.randrange(3)]] * rng.choice([0, 0, 0, 1, 2, 3])
+        words = " ".join(lines).split()
+        changed = {w: f"{w}x{i}" for w in rng.sample(sorted(set(words)), i % 4)}
+        rows.append((i, " ".join(changed.get(w, w) for w in words)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in probminhash.near_duplicates(documents, small=small).collect()}
+    expected = slow_classes(rows)
+    assert found == expected and 5 < len(set(expected.values())) < 85
+
+
+def test_bounds_beside_a_hub_lose_no_link(spark):
+    rng = np.random.default_rng(31)
+    near, rows = 0, []
+    for group in range(150):
+        pool = np.unique(rng.integers(1, 2**40, 50)).astype(np.uint64)
+        hub = rng.integers(0, 4, len(pool))
+        both = []
+        for _ in range(2):
+            counts = np.where(rng.random(len(pool)) < 0.12, rng.integers(0, 5, len(pool)), hub) * rng.choice([1, 1, 1, 3])
+            counts[0] = max(counts[0], 1)
+            both.append((pool[counts > 0], counts[counts > 0]))
+        marks = []
+        for elements, counts in both:
+            center = (pool[hub > 0], hub[hub > 0])
+            _, _, _, (uneven, fresh, top), news = probminhash.differences(*center, *(elements, counts))
+            occurring = np.repeat(elements, counts)
+            nth = np.arange(len(occurring)) - np.repeat(np.cumsum(counts) - counts, counts)
+            occurring = occurring + (nth.astype(np.uint64) << np.uint64(48))
+            size = len(occurring)
+            like = probminhash.prob_jaccard(*center, elements, counts)
+            cuts = np.array([0, len(elements)])
+            parity = probminhash.parity_bits(occurring, np.array([0, size]))[0].tolist()
+            shares = [float(v) for v in probminhash.binned_shares(elements, counts, cuts)]
+            marks.append((True, shares, size, *parity, like, uneven, fresh, top, *news.tolist()))
+        linked = probminhash.prob_jaccard(*both[0], *both[1]) >= 0.8
+        near += linked
+        rows.append((bool(linked), *marks))
+    names = [f"b{i} long" for i in range(probminhash.MARKS)], [f"f{i} long" for i in range(probminhash.MARKS)]
+    mark = "struct<{}>".format(
+        ",".join(
+            c.replace(" ", ":", 1)
+            for c in ["repeats boolean", "shares array<double>", "size int", *names[0], "likeness double", "uneven double",
+                      "fresh double", "top double", *names[1]]
+        )
+    )
+    pairs = spark.createDataFrame(rows, f"linked boolean, mx {mark}, mark {mark}")
+    told = pairs.select("linked", probminhash.uneven_can_meet("mx", "mark", 0.8).alias("may")).collect()
+    assert near > 15 and all(r.may for r in told if r.linked) and not all(r.may for r in told)
+
+
 def test_bounds_of_shares_lose_no_link():
     rng = np.random.default_rng(5)
     for _ in range(200):
