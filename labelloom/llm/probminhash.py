@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm import shingles
@@ -50,6 +50,7 @@ ELEMENT_BYTES = 5
 MARKS = 8
 BINS = 64
 EVEN = 0.02
+COUNTS = ("lacked", "first", "first_even")
 _MARK = "struct<size:int," + ",".join(f"b{i}:bigint" for i in range(MARKS)) + ">"
 
 
@@ -292,8 +293,8 @@ def differences(
 ) -> tuple[np.ndarray, np.ndarray, int, tuple[float, float, float], np.ndarray]:
     """What a text has more or less of than its hub, from distinct elements and counts of both.
 
-    The elements whose counts differ, those that the hub lacks first; by how much; how many the hub lacks; three shares
-    of the text: of elements that both have in different numbers, of elements that the hub lacks, and the greatest of
+    The elements whose counts differ, those that the hub lacks first and then by value, an order that all texts of a hub
+    share; by how much; how many the hub lacks; three shares of the text: of elements that both have in different numbers, of elements that the hub lacks, and the greatest of
     those under one bit; and the bits of those.
     """
     common, at_hub, at_text = np.intersect1d(hub, text, assume_unique=True, return_indices=True)
@@ -302,8 +303,10 @@ def differences(
     lost, new = np.ones(len(hub), dtype=bool), np.ones(len(text), dtype=bool)
     lost[at_hub] = False
     new[at_text] = False
-    elements = np.concatenate([text[new], hub[lost], common[uneven]])
-    amounts = np.concatenate([in_text[new], in_hub[lost], np.abs(more[uneven])])
+    held = np.concatenate([hub[lost], common[uneven]])
+    order = np.argsort(held)
+    elements = np.concatenate([text[new], held[order]])
+    amounts = np.concatenate([in_text[new], np.concatenate([in_hub[lost], np.abs(more[uneven])])[order]])
     bits = 64 * MARKS
     total = max(int(in_text.sum()), 1)
     place = (shingles.mix(text[new]) % np.uint64(bits)).astype(np.int64)
@@ -312,29 +315,47 @@ def differences(
     return elements, amounts, int(new.sum()), shares, np.packbits(mass > 0, bitorder="little").view("<i8")
 
 
+def leading(amounts: np.ndarray, size: int, hub_size: int, likeness: float, threshold: float, least: float) -> int:
+    """How many of a text's first differences hold one that any text to be linked must share: see ``differing_pairs``."""
+    most = likeness + 1 - threshold
+    most = min(most, threshold if likeness >= threshold - 1e-12 else 1.0)
+    c, wide = ((1 - t) / (1 + t) for t in (most, least))
+    other = least * size if c >= wide else size / least
+    d = int(amounts.sum())
+    overlap = (d - wide * size + max(c * hub_size + (c - wide) * other, -wide * hub_size)) / 2
+    return int((d - np.cumsum(amounts) + amounts >= max(overlap - 1e-6, 0.5)).sum())
+
+
 def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every ``(hub, doc_id, big)`` with its ``likeness``, ``linked``, the sizes of both sides, and, for ``big`` pairs,
-    the ``differences`` of ``doc_id``: ``delta`` and ``amount`` of its elements, the number ``lacked`` by the hub, three
-    shares and bits."""
+    the ``differences`` of ``doc_id``: ``delta`` of its elements and their amounts, the number ``lacked`` by the hub,
+    three shares and bits, and how many differences are ``leading`` for the threshold and for ``EVEN`` texts."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
 
+        leasts = threshold, threshold - 2 * p.EVEN
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("big", "ea", "wa", "eb", "wb")]
-            found, deltas, amounts, lacked, shares, news = [], [], [], [], [], []
+            found, deltas, amounts, ends, counts, shares, news = [], [], [], [0], [], [], []
             for big, ea, wa, eb, wb in zip(*columns):
                 a, b = p.unpack_elements(ea), p.unpack_elements(eb)
-                found.append((p.likeness(a, wa, b, wb), len(a), len(b)))
+                like = p.likeness(a, wa, b, wb)
+                found.append((like, len(a), len(b)))
                 if big:
                     delta, amount, new, share, bits = p.differences(*p.counted(a, wa), *p.counted(b, wb))
+                    first, even = (p.leading(amount, len(b), len(a), like, threshold, t) for t in leasts)
+                    count = new, first, even
+                    deltas.append(delta.astype(np.int64))
+                    amounts.append(amount.astype(np.int32))
                 else:
-                    delta, amount, new, share, bits = [], [], 0, (0.0, 0.0, 0.0), np.zeros(p.MARKS, dtype=np.int64)
-                deltas.append(np.asarray(delta, dtype=np.int64))
-                amounts.append(np.asarray(amount, dtype=np.int32))
-                lacked.append(new)
+                    delta, count, share, bits = [], (0,) * 3, (0.0,) * 3, np.zeros(p.MARKS, dtype=np.int64)
+                ends.append(ends[-1] + len(delta))
+                counts.append(count)
                 shares.append(share)
                 news.append(bits)
+            flat = [np.concatenate([np.empty(0, t), *x]) for x, t in ((deltas, np.int64), (amounts, np.int32))]
+            pieces = pa.StructArray.from_arrays([pa.array(flat[0]), pa.array(flat[1])], ["element", "amount"])
             bits = np.array(news, dtype=np.int64).reshape(-1, p.MARKS)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -345,10 +366,9 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
                     "linked": pa.array([x >= threshold - 1e-12 for x, _, _ in found], pa.bool_()),
                     "hub_size": pa.array([x for _, x, _ in found], pa.int32()),
                     "size": pa.array([x for _, _, x in found], pa.int32()),
-                    "delta": pa.array(deltas, pa.list_(pa.int64())),
-                    "amount": pa.array(amounts, pa.list_(pa.int32())),
-                    "lacked": pa.array(lacked, pa.int32()),
+                    "delta": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces),
                 }
+                | {name: pa.array([x[i] for x in counts], pa.int32()) for i, name in enumerate(p.COUNTS)}
                 | {name: pa.array([x[i] for x in shares], pa.float64()) for i, name in enumerate(("uneven", "fresh", "top"))}
                 | {f"f{i}": pa.array(bits[:, i], pa.int64()) for i in range(p.MARKS)}
             )
@@ -356,8 +376,9 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
     joined = _with_sets(stars, sets, "hub", "doc_id")
     return joined.select("hub", "doc_id", "big", "ea", "wa", "eb", "wb").mapInArrow(
         run,
-        "hub long, doc_id long, big boolean, likeness double, linked boolean, hub_size int, size int, delta array<long>, "
-        "amount array<int>, lacked int, uneven double, fresh double, top double, " + ",".join(f"f{i} long" for i in range(MARKS)),
+        "hub long, doc_id long, big boolean, likeness double, linked boolean, hub_size int, size int, "
+        f"delta array<struct<element:bigint,amount:int>>, {' int, '.join(COUNTS)} int, "
+        "uneven double, fresh double, top double, " + ",".join(f"f{i} long" for i in range(MARKS)),
     )
 
 
@@ -393,57 +414,39 @@ def uneven_can_meet(left: str, right: str, threshold: float) -> Column:
     )
 
 
-def _exploded(inside: DataFrame, delta: Column) -> DataFrame:
-    """``(hub, doc_id, component, linked, size, hub_size, d, element, amount)``, ``d`` the sum of all amounts."""
-    total = F.aggregate("amount", F.lit(0).cast("long"), lambda t, x: t + x)
-    columns = ["hub", "doc_id", "component", "linked", "size", "hub_size"]
-    rows = inside.select(*columns, total.alias("d"), F.explode(delta).alias("e"))
-    return rows.select(*columns, "d", F.col("e.delta").alias("element"), "e.amount")
-
-
-def differing_pairs(
-    inside: DataFrame, marks: DataFrame, may_link: Column, threshold: float = THRESHOLD, least: float = THRESHOLD
-) -> DataFrame:
-    """``(a, b)``: all pairs of one hub and different components whose weighted index can reach ``least`` and for whose
-    columns ``mx`` and ``mark`` ``may_link`` holds, from their deltas. The weighted index is never above the one that
-    links at ``threshold``; ``marks`` are ``(hub, doc_id, mark)``.
+def differing_pairs(inside: DataFrame, marks: DataFrame, may_link: Column, first: str = "first") -> DataFrame:
+    """``(a, b)``: all pairs of one hub and different components whose weighted index reaches ``least`` and whose
+    probability index reaches the threshold, if for their columns ``mx`` and ``mark`` ``may_link`` holds, from their
+    ``leading`` differences; ``marks`` are ``(hub, doc_id, mark)``. The weighted index is never above the other.
 
     With sizes s and differences D to the hub (sums of amounts), two multisets differ in at least D1 + D2 - 2 * o
     places, o the sum of the smaller amounts of the deltas' common elements, and they reach an index t if they differ in
-    at most c(t) * (s1 + s2), c(t) = (1 - t) / (1 + t). One of the two is not linked with the hub, so its D exceeds
-    c(threshold) * (s1 + hub size), and s1 is at most s2 / least. Thus o must exceed some number (``spare``) that only
-    the other's sizes and D decide. If the other's delta is put in order, rarest element first, some common element
-    comes before the point from where on less is left than that. So it is enough to join those first elements of every
-    set with all elements of the sets that are not linked with the hub, and of them only elements that different
-    components have. Independent changes of a text have rare elements of their own in front, and meet nobody.
+    at most c(t) * (s1 + s2), c(t) = (1 - t) / (1 + t). So o is at least (D1 + D2 - c(least) * (s1 + s2)) / 2. 1 - index
+    is a metric: if 1 has the likeness l to the hub, 2 has at most l + 1 - threshold, and less than the threshold if 1
+    is linked with the hub, as only one of the two can be. That is a bound of D2 from below by s2, and s2 lies between
+    least * s1 and s1 / least: what o must reach follows from 1 alone. Both deltas are in one order, so the first common
+    element comes, in each, before less is left than o must reach, and only these leading elements are joined. What the
+    hub lacks comes first: independent changes of a text meet nobody there, while what they take out of the hub often
+    is the same.
     """
-    c, wide = ((1 - t) / (1 + t) for t in (threshold, least))
-    rows = _exploded(inside, F.arrays_zip("delta", "amount"))
-    stats = rows.groupBy("hub", "element").agg(
-        F.count("*").alias("n"), (F.min("component") < F.max("component")).alias("shared")
-    )
-    known = rows.join(stats, ["hub", "element"])
-    needed = F.col("d") - wide * F.col("size") + c * F.col("hub_size") - (wide - c) * F.col("size") / least
-    spare = F.greatest(F.floor(needed / 2 - 1e-9), F.lit(0))
-    rarest = Window.partitionBy("hub", "doc_id").orderBy("n", "element").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("amount").over(rarest), F.lit(0))
-    first = (
-        known.withColumn("remaining", F.col("d") - before)
-        .where((F.col("remaining") > spare) & F.col("shared"))
-        .select("hub", F.col("doc_id").alias("x"), F.col("component").alias("cx"), "element")
+    rows = inside.select("hub", "doc_id", "component", "linked", F.explode(F.slice("delta", F.lit(1), F.col(first))).alias("e"))
+    rows = rows.select("hub", "doc_id", "component", "linked", F.col("e.element").alias("element"))
+    shared = rows.groupBy("hub", "element").agg(
+        (F.min("component") < F.max("component")).alias("torn"), F.bool_and("linked").alias("near")
     )
-    apart = known.where("shared AND NOT linked").select("hub", "element", "doc_id", "component")
-    apart = apart.join(marks, ["hub", "doc_id"]).withColumnsRenamed({"hub": "h", "element": "e"})
-    first = first.join(marks.select("hub", F.col("doc_id").alias("x"), F.col("mark").alias("mx")), ["hub", "x"])
+    known = rows.join(shared.where("torn AND NOT near").select("hub", "element"), ["hub", "element"])
+    marked = known.join(marks, ["hub", "doc_id"]).select("hub", "element", "doc_id", "component", "mark", "linked")
+    far = marked.where("NOT linked").drop("linked")
+    other = marked.drop("linked").toDF("h", "e", "x", "cx", "mx")
     same = (F.col("hub") == F.col("h")) & (F.col("element") == F.col("e"))
-    met = first.join(apart, same & (F.col("cx") != F.col("component")) & may_link)
+    met = other.join(far, same & (F.col("cx") != F.col("component")) & may_link)
     return met.select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
 
 
 def pairs_by_numbers(inside: DataFrame, marks: DataFrame, may_link: Column) -> DataFrame:
     """``(a, b)``: pairs of one hub and different components that have an element in different numbers that the hub
     lacks, and for whose columns ``mx`` and ``mark`` ``may_link`` holds."""
-    new = _exploded(inside, F.slice(F.arrays_zip("delta", "amount"), F.lit(1), F.col("lacked")))
+    new = inside.select("hub", "doc_id", "component", F.inline(F.slice("delta", F.lit(1), F.col("lacked"))))
     differ = new.groupBy("hub", "element").agg(
         (F.min("component") < F.max("component")).alias("torn"), (F.min("amount") < F.max("amount")).alias("numbers")
     )
@@ -476,7 +479,7 @@ def pairs_with_repeats(inside: DataFrame, sets: DataFrame, threshold: float = TH
     odd = (F.col("mx.uneven") > EVEN) | (F.col("mark.uneven") > EVEN)
     drifted = rows.where(F.col("most") > EVEN).select(F.col("hub").alias("key"), "doc_id", "component", "mark")
     return (
-        differing_pairs(even, marks, may_link, threshold, threshold - 2 * EVEN)
+        differing_pairs(even, marks, may_link, "first_even")
         .union(pairs_by_numbers(even, marks, may_link))
         .union(cross_pairs(drifted, odd & may_link))
     )
@@ -545,8 +548,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     may_link = (F.col("mx.repeats") | F.col("mark.repeats")) & shares_can_meet("mx.shares", "mark.shares", threshold)
     uneven = cross_pairs(stage(mixed, "buckets-with-repeats"), may_link)
     inside = stage(apart_from_hub(judged, components), "apart-from-hub")
-    by_hub = inside.select("hub", "doc_id").join(marks, "doc_id").select("hub", "doc_id", "mark")
-    apart = differing_pairs(inside, by_hub, can_meet("mx", "mark", threshold), threshold, threshold)
+    by_hub = inside.select("hub", "doc_id", "likeness").join(marks, "doc_id")
+    by_hub = by_hub.select("hub", "doc_id", F.struct("mark.*", "likeness").alias("mark"))
+    near = F.abs(F.col("mx.likeness") - F.col("mark.likeness")) <= 1 - threshold + 1e-9
+    apart = differing_pairs(inside, by_hub, near & can_meet("mx", "mark", threshold))
     drifted = pairs_with_repeats(inside, sets, threshold)
     told = judged.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
     rest = rare.union(apart).union(uneven).union(drifted).distinct().join(told, ["a", "b"], "left_anti")

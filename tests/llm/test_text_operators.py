@@ -256,7 +256,7 @@ def test_bounds_beside_a_hub_lose_no_link(spark):
         marks = []
         for elements, counts in both:
             center = (pool[hub > 0], hub[hub > 0])
-            _, _, _, (uneven, fresh, top), news = probminhash.differences(*center, *(elements, counts))
+            *_, (uneven, fresh, top), news = probminhash.differences(*center, elements, counts)
             occurring = np.repeat(elements, counts)
             nth = np.arange(len(occurring)) - np.repeat(np.cumsum(counts) - counts, counts)
             occurring = occurring + (nth.astype(np.uint64) << np.uint64(48))
