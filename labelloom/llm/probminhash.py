@@ -156,16 +156,13 @@ def prob_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -
     return float((1 / (above / ca + below / cb)).sum())
 
 
-def counted(occurring: np.ndarray, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct elements and their counts from all occurrences; no weights where all counts are one."""
-    if not weights:
-        return occurring, np.ones(len(occurring), dtype=np.int64)
-    counts = np.frombuffer(weights, "<u4").astype(np.int64)
-    return occurring[np.cumsum(counts) - counts], counts
+def counted(elements: np.ndarray, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct elements and their counts; no weights where all counts are one."""
+    return elements, np.frombuffer(weights, "<u4").astype(np.int64) if weights else np.ones(len(elements), dtype=np.int64)
 
 
 def likeness(a: np.ndarray, wa: bytes, b: np.ndarray, wb: bytes) -> float:
-    """The probability Jaccard index from all occurrences and the weights."""
+    """The probability Jaccard index from distinct elements and the weights."""
     return prob_jaccard(*counted(a, wa), *counted(b, wb)) if wa or wb else jaccard(a, b)
 
 
@@ -232,8 +229,8 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, elements, weights, mark, shares)``: all shingle occurrences, packed, counts where one is above 1, the
-    number and parity bits of the occurrences, and the binned shares."""
+    """``(doc_id, elements, weights, mark, shares)``: distinct shingles, packed, counts where one is above 1, the number
+    and parity bits of all occurrences, and the binned shares."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
@@ -253,7 +250,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column("doc_id").slice(at, len(texts)),
-                        "elements": pa.array([p.pack_elements(elements[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                        "elements": pa.array([p.pack_elements(distinct[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
                         "weights": pa.array([c.astype("<u4").tobytes() if (c > 1).any() else b"" for c in of], pa.binary()),
                         "mark": pa.StructArray.from_arrays(list(mark.values()), list(mark)),
                         "shares": pa.ListArray.from_arrays(
@@ -341,10 +338,11 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
             for big, ea, wa, eb, wb in zip(*columns):
                 a, b = p.unpack_elements(ea), p.unpack_elements(eb)
                 like = p.likeness(a, wa, b, wb)
-                found.append((like, len(a), len(b)))
+                (a, ca), (b, cb) = p.counted(a, wa), p.counted(b, wb)
+                found.append((like, int(ca.sum()), int(cb.sum())))
                 if big:
-                    delta, amount, new, share, bits = p.differences(*p.counted(a, wa), *p.counted(b, wb))
-                    first, even = (p.leading(amount, len(b), len(a), like, threshold, t) for t in leasts)
+                    delta, amount, new, share, bits = p.differences(a, ca, b, cb)
+                    first, even = (p.leading(amount, found[-1][2], found[-1][1], like, threshold, t) for t in leasts)
                     count = new, first, even
                     deltas.append(delta.astype(np.int64))
                     amounts.append(amount.astype(np.int32))
