@@ -119,35 +119,10 @@ def with_term_runs(df: DataFrame, words: str, runs: str = "runs") -> DataFrame:
         "_ends",
         lambda start, end: F.struct(F.get("_sorted", start).alias("term"), (end - start).cast("long").alias("tf")),
     )
-    bounds = _run_bounds(df.select(*others, F.array_sort(words).alias("_sorted")), lambda entry: entry)
+    bounds = _run_bounds(df.select(*others, F.sort_array(words).alias("_sorted")), lambda entry: entry)
     return bounds.select(*others, counted.alias(runs))
 
 
-def with_hashed_runs(df: DataFrame, buckets: int, runs: str = "runs") -> DataFrame:
-    """Turn ``array<struct<term, tf>>`` into ``array<struct<bucket, tf>>`` inside the row.
-
-    Terms are hashed with a sign, the signed counts of a bucket are added up and made absolute, and buckets that
-    cancel out are dropped.
-    """
-    others = [c for c in df.columns if c != runs]
-
-    def hashed(run: Column) -> Column:
-        digest = F.md5(run["term"])
-        bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % buckets
-        even = F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2 == 0
-        return F.struct(bucket.alias("bucket"), F.when(even, run["tf"]).otherwise(-run["tf"]).alias("tf"))
-
-    def added(start: Column, end: Column) -> Column:
-        entries = F.slice("_sorted", start + 1, end - start)
-        total = F.aggregate(entries, F.lit(0).cast("long"), lambda sofar, entry: sofar + entry["tf"])
-        return F.struct(F.get("_sorted", start)["bucket"].alias("bucket"), F.abs(total).alias("tf"))
-
-    ordered = F.array_sort(F.transform(runs, hashed))
-    bounds = _run_bounds(df.select(*others, ordered.alias("_sorted")), lambda entry: entry["bucket"])
-    summed = bounds.select(*others, F.zip_with("_starts", "_ends", added).alias(runs))
-    return summed.select(*others, F.filter(runs, lambda run: run["tf"] > 0).alias(runs))
-
-
 def explode_runs(df: DataFrame, runs: str = "runs") -> DataFrame:
     others = [c for c in df.columns if c != runs]
     return explode_once(df, runs, "_run").select(*others, "_run.term", "_run.tf")

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.functions.text import count_terms, explode_once, explode_runs, with_hashed_runs, with_term_runs
+from labelloom.functions.text import count_terms, explode_once, explode_runs, with_term_runs
 from labelloom.operators.clean import document_terms
+from labelloom.session import ship_package
 
 # Fixed value: number of hash buckets.
 BUCKETS = 2**12
+# Documents whose terms a task hashes and counts at once.
+HASHED_AT_ONCE = 256
 
 
 def term_counts(texts: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
@@ -51,10 +57,39 @@ def sample_terms(samples: DataFrame, texts: DataFrame, stop_words: Sequence[str]
     return explode_runs(per_document.join(samples, "id"))
 
 
+def _hashed(terms: pa.Array, buckets: int) -> list[pa.Array]:
+    """Buckets in order and their counts of every document of a list array of terms.
+
+    Each distinct term is hashed once: 8 hex digits of its digest name the bucket, the ninth the sign. Signed counts of
+    a bucket are added up and made absolute, and buckets that cancel out are dropped.
+    """
+    coded = terms.flatten().dictionary_encode()
+    digests = [md5(term.encode()).digest() for term in coded.dictionary.to_pylist()]
+    bucket = np.array([int.from_bytes(d[:4], "big") % buckets for d in digests], dtype=np.int64)
+    sign = np.array([-1 if d[4] & 16 else 1 for d in digests], dtype=np.int64)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(terms)), terms.value_lengths().to_numpy(zero_copy_only=False))
+    cells = np.bincount(rows * buckets + bucket[codes], sign[codes], minlength=len(terms) * buckets)
+    found = np.flatnonzero(cells)
+    bounds = pa.array(np.searchsorted(found, np.arange(len(terms) + 1) * buckets), pa.int32())
+    columns = found % buckets, np.abs(cells[found]).astype(np.int64)
+    return [pa.ListArray.from_arrays(bounds, pa.array(column, pa.int64())) for column in columns]
+
+
 def hashed_rows(texts: DataFrame, stop_words: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
     """``(id, buckets, counts)``: a sparse row of hashed counts for every text, also an empty one; no shuffle."""
-    runs = with_hashed_runs(with_term_runs(document_terms(texts, stop_words), "terms"), buckets)
-    return runs.select("id", F.col("runs.bucket").alias("buckets"), F.col("runs.tf").alias("counts"))
+    ship_package(texts.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, HASHED_AT_ONCE):
+                part = batch.slice(at, HASHED_AT_ONCE)
+                columns = [part.column("id"), *_hashed(part.column("terms"), buckets)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "buckets", "counts"])
+
+    documents = document_terms(texts.select("id", "text"), stop_words).select("id", "terms")
+    schema = f"id {documents.schema['id'].dataType.simpleString()}, buckets array<bigint>, counts array<bigint>"
+    return documents.mapInArrow(run, schema)
 
 
 def hashed_counts(texts: DataFrame, stop_words: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from labelloom.session import ship_package
 # Components of the truncated SVD and of the principal component analysis.
 COMPONENTS = 256
 PRINCIPAL = 40
+# Documents that are multiplied at once: their dense rows of 4096 buckets are 8 MB.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -41,22 +43,20 @@ def bucket_idf(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     return np.log((1 + rows.count()) / (1 + frequency)) + 1
 
 
-def _entries(frame: pd.DataFrame, idf: np.ndarray, unit: bool = True):
-    """Bucket, weight and local row number of every entry of a batch; with ``unit``, rows have unit length."""
-    lengths = frame["buckets"].map(len).to_numpy()
-    buckets = np.concatenate(frame["buckets"].to_numpy()).astype(np.int64)
-    weights = np.concatenate(frame["counts"].to_numpy()).astype(np.float64) * idf[buckets]
-    local = np.repeat(np.arange(len(frame)), lengths)
-    if not unit:
-        return buckets, weights, local
-    norms = np.sqrt(np.bincount(local, weights * weights, minlength=len(frame)))
-    return buckets, weights / norms[local], local
-
-
-def _times(buckets, weights, local, rows: int, matrix: np.ndarray) -> np.ndarray:
-    """The sparse rows times a dense matrix with one row per bucket."""
-    columns = [np.bincount(local, weights * matrix[buckets, j], minlength=rows) for j in range(matrix.shape[1])]
-    return np.stack(columns, axis=1)
+def _dense(batch: pa.RecordBatch, idf: np.ndarray, unit: bool = True):
+    """Ids and weighed rows (documents x buckets) of a batch, ``CHUNK`` documents at a time; with ``unit``, rows have
+    unit length. A product of dense rows is one call of BLAS, whose working set does not grow with the batch."""
+    buckets = len(idf)
+    for at in range(0, batch.num_rows, CHUNK):
+        part = batch.slice(at, CHUNK)
+        bucket = part.column("buckets").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        count = part.column("counts").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        local = np.repeat(np.arange(part.num_rows), part.column("buckets").value_lengths().to_numpy(zero_copy_only=False))
+        weights = count * idf[bucket]
+        if unit:
+            weights = weights / np.sqrt(np.bincount(local, weights * weights, minlength=part.num_rows))[local]
+        cells = np.bincount(local * buckets + bucket, weights, minlength=part.num_rows * buckets)
+        yield part.column("id"), cells.reshape(part.num_rows, buckets)
 
 
 def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray, unit: bool = True) -> np.ndarray:
@@ -69,16 +69,14 @@ def _gram_times(rows: DataFrame, idf: np.ndarray, matrix: np.ndarray, unit: bool
     def partial(batches):
         idf, matrix = shared.value
         total = np.zeros(shape)
-        for frame in batches:
-            if len(frame):
-                buckets, weights, local = _entries(frame, idf, unit)
-                projected = _times(buckets, weights, local, len(frame), matrix)
-                for j in range(shape[1]):
-                    total[:, j] += np.bincount(buckets, weights * projected[local, j], minlength=shape[0])
+        for batch in batches:
+            for _, dense in _dense(batch, idf, unit):
+                total += dense.T @ (dense @ matrix)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pd.DataFrame(total[used], columns=names).assign(bucket=used)
+        columns = [pa.array(total[used, j]) for j in range(shape[1])]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(used, pa.int64())], names=[*names, "bucket"])
 
-    parts = rows.mapInPandas(partial, ", ".join(f"{c} double" for c in names) + ", bucket long")
+    parts = rows.mapInArrow(partial, ", ".join(f"{c} double" for c in names) + ", bucket long")
     summed = parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
     result = np.zeros(shape)
     result[summed["bucket"].to_numpy()] = summed[names].to_numpy()
@@ -108,14 +106,16 @@ def project(rows: DataFrame, basis: LsaBasis) -> DataFrame:
 
     def rotate(batches):
         basis = shared.value
-        for frame in batches:
-            if len(frame):
-                features = _times(*_entries(frame, basis.idf, basis.unit), len(frame), basis.vectors)
+        for batch in batches:
+            for ids, dense in _dense(batch, basis.idf, basis.unit):
+                features = dense @ basis.vectors
                 if basis.center is not None:
                     features = features - basis.center
-                yield frame[["id"]].assign(features=list(features))
+                bounds = np.arange(len(features) + 1, dtype=np.int32) * features.shape[1]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(features.ravel()))
+                yield pa.RecordBatch.from_arrays([ids, lists], names=["id", "features"])
 
-    return rows.mapInPandas(rotate, "id long, features array<double>")
+    return rows.mapInArrow(rotate, "id long, features array<double>")
 
 
 # Rows of a stored basis that belong to no bucket.
