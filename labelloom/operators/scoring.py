@@ -17,6 +17,8 @@ from labelloom.session import ship_package, stage
 
 BLOCK_ROWS = 2_000_000
 CELLS = 4_000_000
+# Weights that a task looks up at once: documents are taken in slices that have no more, or one by one.
+ENTRIES = 500_000
 
 
 class ModelBlock:
@@ -32,6 +34,16 @@ class ModelBlock:
         self.column = weights["tag"].map(column).to_numpy()[order]
         self.weight = weights["weight"].to_numpy(dtype=np.float64)[order]
         self.start = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(terms)))]).astype(np.int64)
+        self.most = int(np.diff(self.start).max(initial=1))
+
+    def slices(self, terms: pa.Array):
+        """``(start, length)`` of slices of at most ``ENTRIES`` weights and ``CELLS`` scores, or of one document."""
+        entries = np.cumsum(terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) * self.most
+        step, at, before = max(1, CELLS // max(len(self.tags), 1)), 0, 0
+        while at < len(terms):
+            end = max(at + 1, min(at + step, int(np.searchsorted(entries, before + ENTRIES, side="right"))))
+            yield at, end - at
+            at, before = end, entries[end - 1]
 
     def scores(self, terms: pa.Array, binary: bool) -> np.ndarray:
         """``(documents, tags)`` of a list array of terms."""
@@ -63,10 +75,9 @@ def _accepted(documents: DataFrame, block: ModelBlock, binary: bool) -> DataFram
 
     def run(batches):
         block = shared.value
-        step = max(1, CELLS // max(len(block.tags), 1))
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            for at, length in block.slices(batch.column("terms")):
+                part = batch.slice(at, length)
                 positive = block.scores(part.column("terms"), binary) > 0
                 bounds = np.concatenate([[0], np.cumsum(positive.sum(axis=1))])
                 tags = pa.array(block.tags[np.nonzero(positive)[1]], pa.string())

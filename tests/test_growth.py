@@ -4,10 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from labelloom.operators import features as X
-from labelloom.operators import lsa
+from labelloom.operators import lsa, scoring
 
 
 def test_products_take_documents_in_chunks():
@@ -45,3 +46,20 @@ def test_distinct_terms_are_hashed_once(monkeypatch):
             sign = 1 if int(digest[8], 16) % 2 == 0 else -1
             expected[int(digest[:8], 16) % 3] = expected.get(int(digest[:8], 16) % 3, 0) + sign
         assert list(zip(found, amounts)) == sorted((b, abs(x)) for b, x in expected.items() if x)
+
+
+def test_scoring_bounds_the_weights_of_a_slice():
+    tags, words = [f"t{i:02d}" for i in range(30)], [f"w{i}" for i in range(200)]
+    weights = pd.DataFrame([(t, w, (i * 7 + j) % 5 - 2.0) for i, t in enumerate(tags) for j, w in enumerate(words)])
+    weights.columns = ["tag", "term", "weight"]
+    block = scoring.ModelBlock(weights, pd.DataFrame({"tag": tags, "bias": 0.5}))
+    rng = random.Random(1)
+    texts = [rng.choices(words, k=k) for k in [0] * 3 + [200] * 400 + [40_000] + [5] * 50]
+    terms = pa.array(texts, pa.list_(pa.string()))
+    slices = list(block.slices(terms))
+    assert sum(length for _, length in slices) == len(texts)
+    assert [at for at, _ in slices] == np.cumsum([0] + [length for _, length in slices])[:-1].tolist()
+    for at, length in slices:
+        assert length == 1 or sum(map(len, texts[at : at + length])) * len(tags) <= scoring.ENTRIES
+    parts = np.concatenate([block.scores(terms.slice(at, length), True) for at, length in slices])
+    assert np.array_equal(parts, block.scores(terms, True))
