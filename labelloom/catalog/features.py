@@ -9,6 +9,7 @@ from labelloom.catalog.sampling import drawn
 from labelloom.operators import clean, keywords
 from labelloom.operators import features as X
 from labelloom.operators import tags as T
+from labelloom.session import stage
 from labelloom.sources.questions import questions_from_benchmark, texts_from_documents
 
 area = Area()
@@ -60,7 +61,7 @@ def term_counts(spark, folder):
 )
 def tfidf(spark, folder):
     texts = document_texts(spark, folder)
-    weights = X.tfidf(X.term_counts(texts, STOP_WORDS), texts.agg(F.count("*").alias("n")))
+    weights = X.tfidf(stage(X.term_counts(texts, STOP_WORDS), "term-counts"), texts.agg(F.count("*").alias("n")))
     return weights.withColumn("weight", F.round("weight", 6))
 
 

@@ -33,9 +33,11 @@ def tfidf(counts: DataFrame, sizes: DataFrame, *keys: str) -> DataFrame:
     """Unit-length ``tf * (ln((1 + n) / (1 + df)) + 1)`` within each combination of ``keys``.
 
     ``sizes`` holds the number of documents ``n`` per combination (one row without keys). The join on the term is an
-    equi-join that splits hot terms at run time, and the norm is taken over one document's terms.
+    equi-join that splits hot terms at run time; frequencies, a row per term, are hashed, so that counts are not sorted
+    for it. The norm is taken over one document's terms.
     """
-    joined = counts.join(document_frequency(counts, *keys), [*keys, "term"])
+    frequency = document_frequency(counts, *keys).hint("shuffle_hash")
+    joined = counts.join(frequency, [*keys, "term"])
     if keys:
         joined = joined.join(sizes, list(keys))
         n = F.col("n")

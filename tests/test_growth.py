@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from labelloom.operators import features as X
 from labelloom.operators import lsa, scoring
@@ -63,3 +64,18 @@ def test_scoring_bounds_the_weights_of_a_slice():
         assert length == 1 or sum(map(len, texts[at : at + length])) * len(tags) <= scoring.ENTRIES
     parts = np.concatenate([block.scores(terms.slice(at, length), True) for at, length in slices])
     assert np.array_equal(parts, block.scores(terms, True))
+
+
+def test_tfidf_does_not_sort_counts_by_term(spark):
+    rows = [(i, f"w{j}", 1 + (i + j) % 3) for i in range(30) for j in range(i % 5)]
+    counts = spark.createDataFrame(rows, "id long, term string, tf long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighed = X.tfidf(counts, counts.agg(F.count_distinct("id").alias("n")))
+        plan = weighed._jdf.queryExecution().executedPlan().toString()
+        norms = weighed.groupBy("id").agg(F.sum(F.col("weight") * F.col("weight")).alias("square")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert len(norms) == 24 and all(abs(r["square"] - 1) < 1e-12 for r in norms)
