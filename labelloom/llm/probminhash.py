@@ -34,8 +34,12 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +55,8 @@ MARKS = 8
 BINS = 64
 EVEN = 0.02
 COUNTS = ("lacked", "first", "first_even")
+# Bytes of packed sets that a task takes apart at once.
+PAIR_BYTES = 2_000_000
 _MARK = "struct<size:int," + ",".join(f"b{i}:bigint" for i in range(MARKS)) + ">"
 
 
@@ -269,13 +275,23 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, left: str, right: str) -> Data
     return pairs.join(side(left, "a"), left).join(side(right, "b"), right)
 
 
+def portions(batch: pa.RecordBatch, most: int = PAIR_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's pairs with about ``most`` bytes of sets, ``ea`` and ``eb``."""
+    sizes = (pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False) for c in ("ea", "eb"))
+    ends = np.cumsum(sum(sizes).astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(a, b)`` of the pairs whose likeness reaches the threshold."""
 
     def run(batches):
         from labelloom.llm import probminhash as p
 
-        for batch in batches:
+        for batch in chain.from_iterable(map(p.portions, batches)):
             both = zip(*(batch.column(c).to_pylist() for c in ("ea", "wa", "eb", "wb")))
             keep = [
                 p.likeness(p.unpack_elements(a), wa, p.unpack_elements(b), wb) >= threshold - 1e-12 for a, wa, b, wb in both
@@ -332,7 +348,7 @@ def compared(stars: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
         from labelloom.llm import probminhash as p
 
         leasts = threshold, threshold - 2 * p.EVEN
-        for batch in batches:
+        for batch in chain.from_iterable(map(p.portions, batches)):
             columns = [batch.column(c).to_pylist() for c in ("big", "ea", "wa", "eb", "wb")]
             found, deltas, amounts, ends, counts, shares, news = [], [], [], [0], [], [], []
             for big, ea, wa, eb, wb in zip(*columns):
@@ -434,6 +450,7 @@ def differing_pairs(inside: DataFrame, marks: DataFrame, may_link: Column, first
     )
     known = rows.join(shared.where("torn AND NOT near").select("hub", "element"), ["hub", "element"])
     marked = known.join(marks, ["hub", "doc_id"]).select("hub", "element", "doc_id", "component", "mark", "linked")
+    marked = stage(marked, "torn-differences")  # both sides of the join below, which would each look for them
     far = marked.where("NOT linked").drop("linked")
     other = marked.drop("linked").toDF("h", "e", "x", "cx", "mx")
     same = (F.col("hub") == F.col("h")) & (F.col("element") == F.col("e"))
@@ -477,9 +494,9 @@ def pairs_with_repeats(inside: DataFrame, sets: DataFrame, threshold: float = TH
     odd = (F.col("mx.uneven") > EVEN) | (F.col("mark.uneven") > EVEN)
     drifted = rows.where(F.col("most") > EVEN).select(F.col("hub").alias("key"), "doc_id", "component", "mark")
     return (
-        differing_pairs(even, marks, may_link, "first_even")
-        .union(pairs_by_numbers(even, marks, may_link))
-        .union(cross_pairs(drifted, odd & may_link))
+        stage(differing_pairs(even, marks, may_link, "first_even"), "even-pairs")
+        .union(stage(pairs_by_numbers(even, marks, may_link), "pairs-by-numbers"))
+        .union(stage(cross_pairs(drifted, odd & may_link), "drifted-pairs"))
     )
 
 
@@ -521,8 +538,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
     sets = stage(shingle_sets(texts).dropDuplicates(["doc_id"]), "shingle-sets")
 
+    # Every kind of pairs is a table of its own: in one plan the driver would hold the exchanges of all of them at once.
     sized = crowded.groupBy("key").agg(F.count("*").alias("n"))
-    members = crowded.join(sized, "key")
+    members = stage(crowded.join(sized, "key"), "bucket-members")
     degree = members.groupBy("doc_id").agg(F.sum("n").alias("degree"))
     hubs = members.join(degree, "doc_id").groupBy("key").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("hub"))
     stars = members.join(hubs, "key").where("doc_id <> hub").groupBy("hub", "doc_id").agg(F.max(F.col("n") > small).alias("big"))
@@ -533,7 +551,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     named = components.withColumnRenamed("node", "doc_id")
     few = members.where(F.col("n") <= small).join(named, "doc_id", "left").join(marks, "doc_id")
     few = few.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), "mark")
-    rare = cross_pairs(stage(few, "small-buckets"), can_meet("mx", "mark", threshold))
+    rare = stage(cross_pairs(stage(few, "small-buckets"), can_meet("mx", "mark", threshold)), "rare-pairs")
     repeats = sets.select("doc_id", F.struct((F.length("weights") > 0).alias("repeats"), "shares").alias("mark"))
     # Only small buckets with a text that repeats a shingle and with more than one component; then texts of one hub.
     placed = members.where(F.col("n") <= small).join(named, "doc_id", "left")
@@ -544,12 +562,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     )
     mixed = placed.join(torn.where("any AND lo < hi").select("key"), "key").drop("repeats").join(repeats, "doc_id")
     may_link = (F.col("mx.repeats") | F.col("mark.repeats")) & shares_can_meet("mx.shares", "mark.shares", threshold)
-    uneven = cross_pairs(stage(mixed, "buckets-with-repeats"), may_link)
+    uneven = stage(cross_pairs(stage(mixed, "buckets-with-repeats"), may_link), "uneven-pairs")
     inside = stage(apart_from_hub(judged, components), "apart-from-hub")
     by_hub = inside.select("hub", "doc_id", "likeness").join(marks, "doc_id")
     by_hub = by_hub.select("hub", "doc_id", F.struct("mark.*", "likeness").alias("mark"))
     near = F.abs(F.col("mx.likeness") - F.col("mark.likeness")) <= 1 - threshold + 1e-9
-    apart = differing_pairs(inside, by_hub, near & can_meet("mx", "mark", threshold))
+    apart = stage(differing_pairs(inside, by_hub, near & can_meet("mx", "mark", threshold)), "pairs-apart")
     drifted = pairs_with_repeats(inside, sets, threshold)
     told = judged.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"))
     rest = rare.union(apart).union(uneven).union(drifted).distinct().join(told, ["a", "b"], "left_anti")
