@@ -32,6 +32,8 @@ LABELLED, POOL = 12_000, 4_000
 ROUNDS, SURE, PER_ROUND = 3, 0.97, 500
 BUCKETS, CHOSEN, LEAST_USE, LEAST_Z = 1 << 18, 2048, 5, 4.0
 CUTS = 10
+# Bytes of text whose characters and words a task measures at once.
+SLICE_BYTES = 2_000_000
 SHAPES = ("letters", "capitals", "digits", "marks", "bars", "line_words", "word_size", "repeats", "distinct")
 
 
@@ -96,7 +98,7 @@ def sampled_features(docs: DataFrame) -> DataFrame:
         from labelloom.llm import shingles as s
 
         for batch in batches:
-            for at, texts in s.slices(batch.column("text")):
+            for at, texts in s.slices(batch.column("text"), c.SLICE_BYTES):
                 buckets, bounds, shape = c.text_features(texts)
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_pydict(
@@ -319,7 +321,7 @@ def score(docs: DataFrame, model: Model | None, add: str | None = None) -> DataF
 
         model = shared.value
         for batch in batches:
-            for at, texts in s.slices(batch.column("text")):
+            for at, texts in s.slices(batch.column("text"), c.SLICE_BYTES):
                 part = batch.slice(at, len(texts))
                 n = len(texts)
                 text = meta = good = np.full(n, 0.5)

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from labelloom.llm import probminhash
+from labelloom.llm import cotrain, probminhash
 
 
 def kept_functions(monkeypatch, df):
@@ -12,6 +12,24 @@ def kept_functions(monkeypatch, df):
     return kept
 
 
+def test_the_classifier_measures_bounded_slices(spark, docs, monkeypatch):
+    kept = kept_functions(monkeypatch, docs)
+    blank = cotrain.Model(
+        np.zeros((9, 1)), np.zeros(1), np.zeros(cotrain.BUCKETS), np.zeros(18), 0.0, np.zeros(cotrain.META + 1), np.array([1.0, 1.0, 0.0])
+    )
+    cotrain.score(docs, blank, add="p")
+    cotrain.sampled_features(docs.withColumn("good", docs["p_good"] == 1))
+    n, text = 6000, "river stone 12 " * 100
+    columns = {name: pa.array(["x"] * n) for name in ("lang", "source", "spans")} | {"text": pa.array([text] * n)}
+    columns |= {"doc_id": pa.array(range(n)), "n_chars": pa.array([len(text)] * n), "p_good": pa.array([1] * n), "good": pa.array([True] * n)}
+    batch, measured, whole = pa.RecordBatch.from_pydict(columns), [], cotrain.text_features
+    monkeypatch.setattr(cotrain, "text_features", lambda texts: measured.append(len(texts) * len(text)) or whole(texts))
+    for run in kept:
+        measured.clear()
+        rows = [i for part in run([batch]) for i in part.column("doc_id").to_pylist()]
+        assert rows == list(range(n)) and max(measured) <= 2_000_000 + len(text)
+
+
 def test_pairs_are_taken_apart_in_portions(spark, docs, monkeypatch):
     kept = kept_functions(monkeypatch, docs)
     pairs = spark.createDataFrame([], "hub long, doc_id long, big boolean, a long, b long")
